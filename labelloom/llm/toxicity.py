@@ -2,10 +2,11 @@
 
 Grades: 0 not toxic; a toxic document is 1, or 2 if it is labelled of low quality as well.
 The model is P(y <= k) = sigmoid(theta_k - w.x) with ordered thresholds that share the
-weights w; x says which words of a selected vocabulary occur in the whole text. The
-vocabulary is the words whose document frequencies differ significantly between toxic and
-other labelled documents. It is fitted in numpy on at most SAMPLE labelled documents, the
-ones with the smallest hash of doc_id; every document is scored.
+weights w; x says which words and word beginnings of a selected vocabulary occur in the
+whole text. The vocabulary is those whose share among toxic documents is RATIO times their
+share among the other labelled ones, and significantly so; Spark counts them. The model is
+fitted in numpy on at most SAMPLE labelled documents, the ones with the smallest hash of
+doc_id; every document is scored.
 """
 
 from __future__ import annotations
@@ -20,10 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import saved
+
 #: The most labelled documents that a model is fitted on.
-SAMPLE = 20_000
-#: The most words in the vocabulary, and the least z-score of a word's share among toxic documents.
-FEATURES, Z = 512, 4.0
+SAMPLE = 8_000
+#: The most entries of the vocabulary, and what one has to reach: z-score, and ratio of its shares.
+FEATURES, Z, RATIO = 2048, 4.0, 4.0
+#: Lengths in bytes of the word beginnings that are features.
+BEGINNINGS = (4, 5, 6, 7, 8)
 #: Documents that are toxic (grade 1 or more) with at least this probability are rejected.
 REJECT = 0.5
 GRADES = 3
@@ -32,8 +37,12 @@ _LETTERS = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def features(text: str | None) -> set[int]:
-    """CRC-32 of each distinct run of letters, A-Z in lower case."""
-    return set(map(zlib.crc32, set(_LETTERS.findall((text or "").encode().lower()))))
+    """CRC-32 of each distinct run of letters, A-Z in lower case, and of its beginnings."""
+    runs = set(_LETTERS.findall((text or "").encode().lower()))
+    out = set(map(zlib.crc32, runs))
+    for n in BEGINNINGS:
+        out.update(zlib.crc32(x, n) for x in {r[:n] for r in runs if len(r) > n})
+    return out
 
 
 @dataclass
@@ -52,32 +61,17 @@ class Model:
         return float(above.sum()), float(above[0])
 
 
-def fit(sets: list[np.ndarray], grades: np.ndarray, steps: int = 300, l2: float = 1e-3) -> Model:
-    """sets: feature ids of each document. Without both toxic and other documents the model scores all as 0."""
+def fit(x: np.ndarray, grades: np.ndarray, ids: list[int], steps: int = 300, l2: float = 1e-4) -> Model:
+    """x: a row for each document, a column of 0 and 1 for each of ids. Without both toxic and other documents, or without columns, the model scores all as 0."""
     toxic = grades > 0
-    if not toxic.any() or toxic.all():
-        return Model({}, np.zeros(GRADES - 1))
-    ids, inv = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    a = np.bincount(inv[toxic[row]], minlength=len(ids)) + 0.5
-    b = np.bincount(inv[~toxic[row]], minlength=len(ids)) + 0.5
-    p, q, pool = a / (toxic.sum() + 1), b / ((~toxic).sum() + 1), (a + b) / (len(sets) + 2)
-    z = (p - q) / np.sqrt(pool * np.maximum(1 - pool, 1e-9) * (1 / toxic.sum() + 1 / (~toxic).sum()))
-    chosen = np.argsort(-np.abs(z), kind="stable")[:FEATURES]
-    chosen = chosen[np.abs(z[chosen]) >= Z]
-    if not len(chosen):
+    if not len(ids) or not toxic.any() or toxic.all():
         return Model({}, np.zeros(GRADES - 1))
-    at = np.full(len(ids), -1)
-    at[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(sets), len(chosen)), np.float32)
-    here = at[inv] >= 0
-    x[row[here], at[inv][here]] = 1
-
+    chosen = np.arange(len(ids))
     # parameters: w, theta_0, log(theta_1 - theta_0), ...; Adam on the mean log loss
     par = np.zeros(len(chosen) + GRADES - 1)
     par[len(chosen)] = np.log((1 - toxic.mean()) / toxic.mean())
     m, v = np.zeros_like(par), np.zeros_like(par)
-    n = len(sets)
+    n = len(x)
     for t in range(1, steps + 1):
         w, raw = par[: len(chosen)], par[len(chosen) :]
         theta = np.concatenate([raw[:1], raw[:1] + np.cumsum(np.exp(raw[1:]))])
@@ -90,12 +84,12 @@ def fit(sets: list[np.ndarray], grades: np.ndarray, steps: int = 300, l2: float
         g_eta = (up - low) / prob / n
         g_theta = np.array([(-(up / prob)[grades == k].sum() + (low / prob)[grades == k + 1].sum()) / n for k in range(GRADES - 1)])
         g_raw = np.array([g_theta[j:].sum() * (1 if j == 0 else np.exp(raw[j])) for j in range(GRADES - 1)])
-        grad = np.concatenate([x.T @ g_eta.astype(np.float32) + l2 * w / 10, g_raw])
+        grad = np.concatenate([x.T @ g_eta.astype(np.float32) + l2 * w, g_raw])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         par = par - 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     raw = par[len(chosen) :]
     theta = np.concatenate([raw[:1], raw[:1] + np.cumsum(np.exp(raw[1:]))])
-    return Model(dict(zip(ids[chosen].tolist(), par[: len(chosen)].tolist())), theta)
+    return Model(dict(zip(ids, par[: len(chosen)].tolist())), theta)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -115,9 +109,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             ids = [sorted(features(x.as_py())) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "grade", "ids"])
 
-    found = rows.mapInArrow(run, "doc_id bigint, grade int, ids array<bigint>").dropDuplicates(["doc_id"])
-    got = sorted(((r["doc_id"], r["grade"], np.array(r["ids"], np.int64)) for r in found.toLocalIterator()), key=lambda r: r[0])
-    return fit([r[2] for r in got], np.array([r[1] for r in got], int))
+    found = saved(rows.mapInArrow(run, "doc_id bigint, grade int, ids array<bigint>").dropDuplicates(["doc_id"]))
+    n1, n0 = found.agg(F.count_if(F.col("grade") > 0), F.count_if(F.col("grade") == 0)).first()
+    each = found.select((F.col("grade") > 0).alias("toxic"), F.explode("ids").alias("id")).groupBy("id").agg(F.count_if("toxic").alias("a"), F.count_if(~F.col("toxic")).alias("b"))
+    p, q, pool = (F.col("a") + 0.5) / (n1 + 1), (F.col("b") + 0.5) / (n0 + 1), (F.col("a") + F.col("b") + 1) / (n1 + n0 + 2)
+    z = (p - q) / F.sqrt(pool * (1 - pool) * (1 / max(n1, 1) + 1 / max(n0, 1)))
+    chosen = each.select("id", z.alias("z"), (p / q).alias("ratio")).where((F.col("z") >= Z) & (F.col("ratio") >= RATIO)).orderBy(F.desc("z"), "id").limit(FEATURES)
+    ids = sorted(r["id"] for r in chosen.collect())
+    at = {i: k for k, i in enumerate(ids)}
+    got = found.select("doc_id", "grade", F.array_intersect("ids", F.array(*[F.lit(i).cast("bigint") for i in ids]) if ids else F.array().cast("array<bigint>")).alias("ids")).orderBy("doc_id").collect()
+    x = np.zeros((len(got), len(ids)), np.float32)
+    for k, r in enumerate(got):
+        x[k, [at[i] for i in r["ids"]]] = 1
+    return fit(x, np.array([r["grade"] for r in got], int), ids)
 
 
 def with_severity(docs: DataFrame, model: Model) -> DataFrame:
