@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, pii, secrets_scan
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
+from .token_counts import token_counts
 from .toxicity import train, with_severity
 
 
@@ -21,6 +24,23 @@ def op1_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mix(_documents(spark, d).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(_documents(spark, d))
+
+
+def op3_chat(spark: SparkSession, d: str) -> DataFrame:
+    chosen, rejected = chat.stale_answers(spark.read.parquet(f"{d}/conversations.parquet"))
+    return chat.preference_pairs(chosen, rejected, "conv_id")
+
+
+def op4_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return remove_repeats(_documents(spark, d).select("doc_id", "text"))
+
+
+def op5_secrets(spark: SparkSession, d: str) -> DataFrame:
+    return secrets_scan.digest(secrets_scan.scan(_documents(spark, d)))
+
+
 def op6_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return contaminated(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
 
@@ -29,6 +49,11 @@ def op7_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup(_documents(spark, d), carry=["doc_id"]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_pii(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d).select("doc_id", "text")
+    return pii.find(docs, pii.train(docs))
+
+
 def op9_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d)
     return with_severity(docs.select("doc_id", "text"), train(docs, spark.read.parquet(f"{d}/labels.parquet"))).select("doc_id", "severity", "p_toxic", "toxic")
@@ -40,8 +65,13 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_token_counts": op2_token_counts,
+    "op3_chat": op3_chat,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
