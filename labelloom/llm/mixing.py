@@ -9,8 +9,8 @@
    shard. At each node a random half of the units goes left, so what each source sends left
    is multivariate hypergeometric, and both halves are exact in number.
 4. Draws: each shard takes, from every source, the next disjoint run of the source's
-   permuted blocks, as many as its quota. Documents join their blocks; inside a shard
-   they are ordered by hash.
+   permuted blocks, as many as its quota. Documents meet their blocks' draws where they
+   are; inside a shard they are ordered by hash.
 
 Only DataFrame functions; windows run over sources, over at most MAX_BLOCKS times MOST
 narrow units, or inside one block.
@@ -29,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 BLOCK_WORDS, MAX_BLOCKS = 1 << 16, 1 << 14
 SHARDS_LOG2 = 4
+#: Tables with a row or a few for each source or block are broadcast up to so many sources.
+SMALL_SOURCES = 100_000
 SEED = 17
 
 
@@ -81,14 +83,19 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     size: words of the whole text, null text 0. draws: array of (shard, pass, words, place),
     one for each copy that the mix takes, to be read in the order of place in its shard;
     taken: the sum of their words. A source's taken is its target rounded to a word: one
-    document of a source at most is taken in part, its first words. Null is a source of its
-    own. Documents without words and sources without words have target or taken 0. Rows that are equal in
-    every column each count, reruns give the same rows, and columns of these names are replaced.
+    document of a source at most is taken in part, its first words (rows of that document
+    that are repeated share what is left evenly, and lose less than a word each). Null is a
+    source of its own. Documents without words and sources without words have target or
+    taken 0. Reruns give the same rows, and columns of these names are replaced.
+
+    Texts are read twice and never shuffled: blocks and cuts come from a narrow table, and
+    the blocks' draws (at most MAX_BLOCKS and one a source) meet the documents in a broadcast.
     """
     new = ("size", "source_size", "target", "taken", "draws")
     names = [c for c in docs.columns if c not in new]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("src"), word_count().alias("size"), F.xxhash64(F.lit(seed), "doc_id", text_of()).alias("h"))
-    sums = saved(docs.select("source", word_count().alias("n")).groupBy("source").agg(F.sum("n").alias("source_size")))
+    size, h = word_count(), F.xxhash64(F.lit(seed), "doc_id", text_of())
+    narrow = saved(docs.select(F.col("source").alias("src"), size.alias("size"), h.alias("h")))
+    sums = saved(narrow.groupBy(F.col("src").alias("source")).agg(F.sum("size").alias("source_size")))
     goal = targets(sums, weights)
     # sid: a number for each source; the block size holds the number of blocks below its bound
     everything = W.partitionBy(F.lit(1))
@@ -96,13 +103,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     plan = plan.withColumn("block_words", F.greatest(F.lit(float(BLOCK_WORDS)), F.sum("source_size").over(everything) / F.lit(MAX_BLOCKS)))
     plan = plan.withColumn("blocks", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("source_size") / F.col("block_words"))))
     plan = saved(plan.withColumn("goal", F.round("target").cast("bigint")).drop("block_words"))
+    small = F.broadcast if plan.count() <= SMALL_SOURCES else (lambda x: x)
 
-    small = F.broadcast if plan.count() <= 100_000 else (lambda x: x)
-    placed = rows.join(small(plan), F.col("src").eqNullSafe(F.col("source"))).withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
-    narrow = saved(placed.select("sid", "block", "size"))
-    sizes = narrow.groupBy("sid", "block").agg(F.sum("size").alias("block_size"))
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(small(plan.select("source", "sid", "blocks", "source_size", "target")), F.col("src").eqNullSafe(F.col("source"))).withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
 
-    # blocks in their permuted order, with the words before each; then the last pass's blocks
+    # blocks in their permuted order, with the words before each; then what the last pass takes of each
+    sizes = placed(narrow).groupBy("sid", "block").agg(F.sum("size").alias("block_size"))
     order = W.partitionBy("sid").orderBy(F.xxhash64(F.lit(seed), "sid", "block"), "block")
     cut = sizes.join(small(plan.select("sid", "source_size", "goal")), "sid").where("block_size > 0").withColumns({"rank": (F.row_number().over(order) - 1).cast("bigint"), "before": F.sum("block_size").over(order) - F.col("block_size"), "n_blocks": F.count("*").over(W.partitionBy("sid"))})
     cut = cut.withColumns({"passes": F.expr("goal div source_size"), "rest": F.expr("goal % source_size")})
@@ -110,18 +117,24 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     quota = cut.groupBy("sid").agg((F.first("n_blocks") * F.first("passes") + F.count_if(F.col("last") > 0)).alias("quota"))
     quotas = splitting_tree(_units(quota), shards_log2, seed)
 
+    # of a source's block that is taken in part: the hash up to which documents are whole, and the words of the one there
+    part = cut.where("last > 0 and last < block_size").select("sid", "block", "last")
+    tied = placed(narrow).join(small(part), ["sid", "block"]).groupBy("sid", "last", "h").agg(F.sum("size").alias("words"), F.count("*").alias("times"))
+    tied = tied.withColumn("ahead", F.sum("words").over(W.partitionBy("sid").orderBy("h")) - F.col("words"))
+    edge = tied.where("ahead < last and last <= ahead + words").select("sid", F.col("h").alias("edge"), F.expr("(last - ahead) div times").alias("edge_words"))
+
     # a unit is a pass over a ranked block; each shard's run of units is disjoint from the others'
     runs = quotas.groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("first", "n", "shard"))).alias("runs"))
-    drawn = cut.join(runs, "sid").select("sid", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("passes"))).alias("pass"), F.col("rank"), "n_blocks", "passes", "block_size", "last", "runs")
+    drawn = cut.join(runs, "sid").select("sid", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("passes"))).alias("pass"), "rank", "n_blocks", "passes", "block_size", "last", "runs")
     drawn = drawn.withColumn("limit", F.when(F.col("pass") < F.col("passes"), F.col("block_size")).otherwise(F.col("last"))).where("limit > 0")
     drawn = drawn.withColumn("unit", F.col("pass") * F.col("n_blocks") + F.col("rank"))
     shard = F.element_at(F.filter("runs", lambda r: (F.col("unit") >= r["first"]) & (F.col("unit") < r["first"] + r["n"])), 1)["shard"]
-    draws = drawn.select("sid", "block", F.struct("pass", shard.alias("shard"), "limit").alias("d")).groupBy("sid", "block").agg(F.array_sort(F.collect_list("d")).alias("ds"))
+    draws = drawn.select("sid", "block", F.struct("pass", shard.alias("shard"), (F.col("limit") == F.col("block_size")).alias("whole")).alias("d")).groupBy("sid", "block").agg(F.array_sort(F.collect_list("d")).alias("ds"))
+    draws = saved(draws.join(edge, "sid", "left"))
 
-    # words before a document in its block, then what each draw takes of it
-    inside = W.partitionBy("sid", "block").orderBy("h", "size")
-    ranked = placed.withColumn("ahead", F.sum("size").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("size"))
-    taken = ranked.join(draws, ["sid", "block"], "left")
-    share = F.transform(F.coalesce("ds", F.array()), lambda d: F.struct(d["shard"].alias("shard"), d["pass"].alias("pass"), F.least(F.col("size"), F.greatest(F.lit(0).cast("bigint"), d["limit"] - F.col("ahead"))).alias("words"), F.xxhash64(F.lit(seed), d["shard"], d["pass"], F.col("h")).alias("place")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("src"), size.alias("size"), h.alias("h"))
+    taken = placed(rows).join(small(draws), ["sid", "block"], "left")
+    words = lambda d: F.when(d["whole"] | (F.col("h") < F.col("edge")), F.col("size")).when(F.col("h") == F.col("edge"), F.col("edge_words")).otherwise(F.lit(0).cast("bigint"))
+    share = F.transform(F.coalesce("ds", F.array()), lambda d: F.struct(d["shard"].alias("shard"), d["pass"].alias("pass"), words(d).alias("words"), F.xxhash64(F.lit(seed), d["shard"], d["pass"], F.col("h")).alias("place")))
     got = taken.select("row", "size", "source_size", "target", F.filter(share, lambda d: d["words"] > 0).alias("draws"))
     return got.select("row.*", "size", "source_size", "target", F.aggregate("draws", F.lit(0).cast("bigint"), lambda a, d: a + d["words"]).alias("taken"), "draws")
