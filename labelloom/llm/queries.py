@@ -81,7 +81,40 @@ _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
 _SHINGLES = """CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
   ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END"""
 
+_TURN = "concat('<|', role, '|>\n', {}, '\n<|end|>\n')"
+
+
+def _secrets_sql() -> str:
+    """Spans from the pieces between matches: a match begins after all pieces up to it and all matches before it."""
+    spans, quoted = [], lambda p: "'" + p.replace("'", "''") + "'"
+    for o, r in enumerate(secrets_scan.RULES):
+        m, parts = f"regexp_extract_all(t, {quoted(r.pattern)})", f"string_split_regex(t, {quoted(r.pattern)})"
+        value = f"regexp_extract_all(t, {quoted(r.pattern)}, {r.group})"
+        ahead = "coalesce(list_sum(list_transform(p[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)"
+        made = f"list_filter(list_transform(range(1, len(m) + 1), lambda i: {{'b': CAST({ahead} AS BIGINT), 'o': {o}, 'e': CAST({ahead} + length(m[i]) AS BIGINT), 'k': '{r.kind}', 'n': length(v[i])}}), lambda z: z.n >= {r.least})"
+        spans.append(f"s{o} AS (SELECT r, {made} AS s{o} FROM (SELECT r, {m} AS m, {value} AS v, {parts} AS p FROM d))")
+    line = lambda n: "array_to_string(list_transform(list_sort(" + "list_concat(" * (n - 1) + "s0" + "".join(f", s{i})" for i in range(1, n)) + "), lambda z: concat(z.k, ':', z.b, ':', z.e)), ',')"
+    n, base = len(secrets_scan.RULES), len(secrets_scan.BASE)
+    counts = ", ".join(f"CAST(len(s{i}) AS BIGINT) AS n_{r.kind}" for i, r in enumerate(secrets_scan.BASE))
+    return f"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+{", ".join(spans)}
+SELECT doc_id, {counts}, sha256({line(base)}) AS base_sha256, {line(n)} AS spans
+FROM d {" ".join(f"JOIN s{i} USING (r)" for i in range(n))}"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_chat": f"""
+WITH x AS (SELECT conv_id, turn, m.role AS role, m.text AS text FROM (SELECT conv_id, turn, max({{'role': role, 'text': text}}) AS m FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2)),
+l AS (SELECT conv_id, max(turn) AS last FROM x WHERE role = 'assistant' GROUP BY 1),
+c AS (SELECT x.*, last FROM x JOIN l USING (conv_id) WHERE turn <= last),
+o AS (SELECT conv_id, arg_max(text, turn) AS old FROM c WHERE role = 'assistant' AND turn < last GROUP BY 1),
+r AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS a, CASE WHEN turn < last THEN coalesce(text, '') ELSE coalesce(old, '') END AS b FROM c LEFT JOIN o USING (conv_id)),
+t AS (SELECT *, {_TURN.format("a")} AS ta, {_TURN.format("b")} AS tb FROM r)
+SELECT conv_id, CAST(count(*) FILTER (a = b) AS BIGINT) AS n_prompt, coalesce(string_agg(ta, '' ORDER BY turn) FILTER (a = b), '') AS prompt,
+  coalesce(string_agg(ta, '') FILTER (a <> b), '') AS chosen, coalesce(string_agg(tb, '') FILTER (a <> b), '') AS rejected,
+  coalesce(max(concat('14:', length(ta))) FILTER (a <> b), '') AS chosen_mask, coalesce(max(concat('14:', length(tb))) FILTER (a <> b), '') AS rejected_mask
+FROM t GROUP BY conv_id""",
+    "op5_secrets": _secrets_sql(),
     "op6_decontamination": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
 b AS (SELECT item_id, row_number() OVER () AS r, {_WORDS} AS w FROM benchmark),
