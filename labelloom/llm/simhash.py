@@ -8,10 +8,16 @@ up under each variant with one set bit of the second segment cleared; when the s
 segments differ in one bit, exactly one of the two has it set, so every such pair meets
 once per start. The remaining links are checked on those that meet, before the full
 Hamming distance. Work is on distinct fingerprints only.
+
+Texts that share SIMILAR of their five-word shingles can differ in more bits than that, too
+many for any filter on 64 bits. For dropping near copies, similar_pairs() finds them as
+well: documents that share a passage and whose fingerprints are each other's nearest there
+are candidates, and exact Jaccard similarity decides.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +26,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, saved, shingle_hashes, words
+from .common import components, partitions, saved, shingle_hashes, shingles, words
 
 DIFFERING = 3
 #: Groups above this size are dealt out in pairs of blocks.
 BLOCK = 8192
+#: Similar texts: Jaccard similarity of sets of WIDE-word shingles; and the bits that their fingerprints may differ in.
+SIMILAR, WIDE, LOOSE = 0.8, 5, 16
+#: A passage ends after a word whose hash is 0 modulo this; the passages of a text with the smallest hashes are its keys.
+PASSAGE, KEYS = 8, 8
+#: How many partners a text meets in a passage that up to SMALL share; in larger ones it is the nearest.
+PARTNERS = 3
+#: Members of one passage are compared in runs of so many, in the order of their rotated fingerprints.
+RUN = 512
+#: Ids are broadcast up to so many.
+SMALL_IDS = 2_000_000
 #: Up to this group size pairs are compared by shifts over many groups at once.
 SMALL = 32
 
@@ -163,10 +179,108 @@ def links(nodes: DataFrame) -> DataFrame:
     return dealt.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_linked, "a bigint, b bigint")
 
 
-def near_components(rows: DataFrame) -> DataFrame:
-    """rows(doc_id, fp): one row (fp, root, component_id) a distinct fingerprint; component_id is the smallest doc_id reachable, root a fingerprint of the component."""
+def passage_keys(ws: list[bytes]) -> list[int]:
+    """The KEYS smallest hashes of the passages of a text, as signed longs."""
+    cuts = [0, *(i + 1 for i, w in enumerate(ws) if not zlib.crc32(w) % PASSAGE)]
+    if cuts[-1] < len(ws):
+        cuts.append(len(ws))
+    found = {xxhash.xxh64_intdigest(b" ".join(ws[a:b]), 42) for a, b in zip(cuts, cuts[1:])}
+    return np.array(sorted(found)[:KEYS], np.uint64).view(np.int64).tolist()
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (rid, fp, text): a row (key, rot, rid, fp) for each key, rot the fingerprint turned by the key's low bits."""
+    for b in batches:
+        keys = [passage_keys(words(x.as_py())) for x in b.column(2)]
+        row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        key = np.array([k for ks in keys for k in ks], np.int64)
+        fp = b.column(1).to_numpy()[row].view(np.uint64)
+        turn = key.view(np.uint64) & np.uint64(63)
+        rot = (fp << turn) | (fp >> ((np.uint64(64) - turn) & np.uint64(63)))
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rot.view(np.int64)), b.column(0).take(pa.array(row)), pa.array(fp.view(np.int64))], ["key", "rot", "rid", "fp"])
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, rot, rid, fp), sorted by key and rot: for each row the nearest fingerprints of its run, if within LOOSE bits."""
+
+    def pairs(key: np.ndarray, rid: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        size = np.diff(np.append(cut, len(key)))
+        group = np.repeat(np.arange(len(cut)), size)
+        found: list[tuple[np.ndarray, ...]] = []
+        for shift in range(1, min(SMALL, int(size.max()))):
+            i = np.flatnonzero((group[shift:] == group[:-shift]) & (size[group[shift:]] <= SMALL))
+            d = np.bitwise_count(fp[i] ^ fp[i + shift])
+            i, d = i[d <= LOOSE], d[d <= LOOSE]
+            found += [(i, i + shift, d), (i + shift, i, d)]
+        if found:  # the PARTNERS nearest of each
+            i, j, d = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((d, i))
+            i, j = i[order], j[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            found = [(i[place < PARTNERS], j[place < PARTNERS])]
+        for g in np.flatnonzero(size > SMALL):
+            for low in range(cut[g], cut[g] + size[g], RUN):
+                f = fp[low : min(low + RUN, cut[g] + size[g])]
+                d = np.bitwise_count(f[:, None] ^ f[None, :]).astype(np.int64)
+                np.fill_diagonal(d, 65)
+                at = d.argmin(1)
+                i = np.flatnonzero(d[np.arange(len(f)), at] <= LOOSE)
+                found.append((low + i, low + at[i]))
+        if not found:
+            return
+        i, j = (np.concatenate(x) for x in zip(*found))
+        i, j = np.where(rid[i] < rid[j], i, j), np.where(rid[i] < rid[j], j, i)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rid[i], rid[j], fp[i].view(np.int64), fp[j].view(np.int64))], ["a", "b", "fp_a", "fp_b"])
+
+    rest: list[np.ndarray] | None = None
+    for batch in batches:
+        now = [batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)]
+        now = now if rest is None else [np.concatenate(x) for x in zip(rest, now)]
+        if not len(now[0]):
+            continue
+        last = int(np.argmax(now[0] == now[0][-1]))
+        last += (len(now[0]) - last) // RUN * RUN  # whole runs of the last passage are done with
+        if last:
+            yield from pairs(*(x[:last] for x in now))
+        rest = [x[last:] for x in now]
+    if rest is not None and len(rest[0]):
+        yield from pairs(*rest)
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = [sorted({xxhash.xxh32_intdigest(x) for x in shingles(words(t.as_py()), WIDE)}) for t in b.column(1)]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rid", "s"])
+
+
+def similar_pairs(rows: DataFrame) -> DataFrame:
+    """rows(rid, fp, text), rid distinct: pairs (a, b) of fingerprints of texts with Jaccard similarity SIMILAR or more.
+
+    Every document meets, for each of its KEYS passages, the members of the passage's run with
+    the nearest fingerprints: a fixed number of candidates, however many share a passage.
+    Passages that many share are dealt to several tasks by range. Each pair that is returned
+    is verified on whole texts.
+    """
+    spark = rows.sparkSession
+    n = partitions(spark)
+    keyed = saved(rows.select("rid", "fp", "text").mapInArrow(_keyed, "key bigint, rot bigint, rid bigint, fp bigint"))
+    near = keyed.repartitionByRange(n, "key", "rot").sortWithinPartitions("key", "rot").mapInArrow(_nearest, "a bigint, b bigint, fp_a bigint, fp_b bigint")
+    near = saved(near.where("fp_a <> fp_b").distinct())
+    ids = saved(near.select(F.col("a").alias("rid")).union(near.select("b")).distinct())
+    ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
+    sets = saved(rows.select("rid", "text").join(ids, "rid", "left_semi").mapInArrow(_shingle_sets, "rid bigint, s array<bigint>").select("rid", F.transform("s", lambda x: (x - (1 << 31)).cast("int")).alias("s")))
+    both = near.join(sets.select(F.col("rid").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("rid").alias("b"), F.col("s").alias("s_b")), "b")
+    shared = F.size(F.array_intersect("s_a", "s_b"))
+    return both.where(shared >= SIMILAR * (F.size("s_a") + F.size("s_b") - shared)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+
+
+def near_components(rows: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """rows(doc_id, fp), and more links (a, b) of fingerprints if given: one row (fp, root, component_id) a distinct fingerprint; component_id is the smallest doc_id reachable, root a fingerprint of the component."""
     nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    roots = components(saved(links(nodes.select("fp"))))
+    edges = links(nodes.select("fp"))
+    roots = components(saved(edges if more is None else edges.unionByName(more)))
     joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     joined = saved(joined)
     least = joined.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -184,10 +298,14 @@ def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
     return rows.join(near_components(rows), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
-    """docs with one row of each component: the smallest doc_id (null last), of rows equal in that any one."""
+def drop_near_duplicates(docs: DataFrame, k: int = 3, similar: bool = True) -> DataFrame:
+    """docs with one row of each component: the smallest doc_id (null last), of rows equal in that any one.
+
+    Fingerprints link at DIFFERING or fewer bits; with similar, texts of Jaccard similarity SIMILAR or more that similar_pairs() finds link as well.
+    """
     columns = docs.columns
     rows = saved(fingerprints(docs.select(*[F.col(f"`{c}`") for c in columns]), k, columns).withColumn("_rid", F.monotonically_increasing_id()))
-    of = near_components(rows.select("doc_id", "fp"))
+    more = saved(similar_pairs(rows.select(F.col("_rid").alias("rid"), "fp", "text"))) if similar else None
+    of = near_components(rows.select("doc_id", "fp"), more)
     best = rows.select("fp", "doc_id", "_rid").join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_rid")).alias("best"))
     return rows.join(best.select(F.col("best._rid").alias("_rid")), "_rid", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
