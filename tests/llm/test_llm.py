@@ -56,6 +56,12 @@ def test_components_are_all_found(spark):
     assert common.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_sampling_takes_the_smallest_hashes(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    want = [r.k for r in df.orderBy(F.xxhash64("k")).limit(20).collect()]
+    assert [r.k for r in common.sampled(df, "k", 20).collect()] == want and common.sampled(df, "k", 9999).count() == 5000
+
+
 def test_shingles():
     assert common.shingles([], 3) == [] and common.shingles([b"a", b"b"], 3) == [b"a b"]
     assert common.shingles([b"a", b"b", b"c", b"d"], 3) == [b"a b c", b"b c d"]
@@ -157,6 +163,24 @@ def test_links_connect_exactly_what_is_close(spark, monkeypatch, block):
     assert all(got.get(k, k) == v for k, v in want.items())
 
 
+def test_similar_texts_are_dropped(spark):
+    rng = random.Random(21)
+    base = texts(31, 10, 400)
+    near = []
+    for t in base:
+        w = t.split()
+        for i in range(0, len(w), 120):
+            w[min(len(w) - 1, i + 60)] = rng.choice(["changed", "other"])
+        near.append(" ".join(w))
+    docs = table(spark, [*base, *near, "", None])
+    sets = {r.doc_id: set(common.shingles(common.words(r.text), 5)) for r in docs.collect()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(pairs) > 5
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    assert not any(a in kept and b in kept for a, b in pairs)
+    assert kept >= {i for i in range(10)} and len(kept & {20, 21}) == 1
+
+
 # ---- 6 ----
 
 
