@@ -267,6 +267,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, remo
     left = texts.join(spans, "digest", "left").select("digest", whole.alias("whole"), F.lit(later).alias("later"), "data", "spans")
     left = left.mapInArrow(_cut, "digest binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     left = saved(left if with_kept else left.drop("kept"))
+    spark.sql(f"DROP TABLE {table}")  # its files go with the shared folder
     out = ids.join(left, "digest")
     if later:  # of the copies of a text only the first document keeps it
         first = ids.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("f"))
