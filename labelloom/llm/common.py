@@ -1,15 +1,15 @@
-"""What several operators share: scratch tables, word shingles, Arrow helpers, connected components."""
+"""What several operators share: word shingles, samples, connected components, and the library's scratch tables."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from itertools import accumulate
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.scratch import saved, scratch_dir
+
 #: ASCII white space, as a class for Java's and DuckDB's regular expressions.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,22 +18,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 64 << 20
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new path in the shared folder of spark.checkpoint.dir; a folder of our own only where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        shared = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/labelloom-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -43,6 +27,19 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def sampled(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most `most` rows of df, those with the smallest hash of key.
+
+    Where there are many more, only rows below a hash that about twice as many reach are
+    sorted, so that what a task sends on does not grow with the number of tasks.
+    """
+    rows = df.count()
+    h = F.xxhash64(key)
+    if rows > 4 * most:
+        df = df.where(h < F.lit(-(1 << 63) + int(2.0**64 * (2 * most + 64) / rows)))
+    return df.orderBy(h, key).limit(most)
+
+
 def words(text: str | None) -> list[bytes]:
     """UTF-8 words between ASCII white space, A-Z in lower case; both as bytes methods define them."""
     return (text or "").encode().lower().split()

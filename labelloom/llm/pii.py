@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import sampled, text_of
 
 #: The kinds, in the order in which spans of one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -278,7 +278,7 @@ def fit(texts: list[str], windows: int = WINDOWS, epochs: int = EPOCHS, seed: in
 
 def train(docs: DataFrame, carriers: int = CARRIERS) -> Tagger:
     """Fit on the texts of at most `carriers` documents of docs(doc_id, text), the ones with the smallest hash."""
-    rows = docs.where("text is not null").select(F.xxhash64("doc_id").alias("h"), "doc_id", "text").orderBy("h", "doc_id").limit(carriers).collect()
+    rows = sampled(docs.where("text is not null").select("doc_id", "text"), "doc_id", carriers).collect()
     return fit([r["text"] for r in rows])
 
 
