@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import sampled, saved
 
 #: The most labelled documents that a model is fitted on.
 SAMPLE = 8_000
@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     graded = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min(F.coalesce("quality", F.lit(1))).alias("quality"))
     graded = graded.select("doc_id", F.when(F.col("toxic") == 0, 0).when(F.col("quality") == 0, 2).otherwise(1).alias("grade"))
     # the bound holds before any text is read: ids and grades only, then their documents
-    chosen = graded.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    chosen = sampled(graded, "doc_id", sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
