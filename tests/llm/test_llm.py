@@ -136,7 +136,7 @@ def test_near_duplicates(spark):
     got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
     assert {i: int(r.fingerprint, 16) for i, r in got.items()} == fps
     assert {i: r.component_id for i, r in got.items()} == brute_components(fps)
-    kept = simhash.drop_near_duplicates(docs)
+    kept = simhash.drop_near_duplicates(docs, similar=False)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(brute_components(fps).values()))
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.drop_near_duplicates(docs.limit(0)).count() == 0
 
