@@ -9,36 +9,37 @@ segments differ in one bit, exactly one of the two has it set, so every such pai
 once per start. The remaining links are checked on those that meet, before the full
 Hamming distance. Work is on distinct fingerprints only.
 
-Texts that share SIMILAR of their five-word shingles can differ in more bits than that, too
-many for any filter on 64 bits. For dropping near copies, similar_pairs() finds them as
-well: documents that share a passage and whose fingerprints are each other's nearest there
-are candidates, and exact Jaccard similarity decides.
+Texts that share four fifths of their five-word shingles (Jaccard) can differ in more bits
+than that, too many for any filter on 64 bits. For dropping near copies, similar_links()
+finds them all as well, by a prefix filter on the shingle sets: in any order of all
+shingles, similar sets share one of the first fifth of each. Rare ones come first.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, saved, shingle_hashes, shingles, words
+from .common import components, partitions, saved, shingle_hashes, words
 
 DIFFERING = 3
 #: Groups above this size are dealt out in pairs of blocks.
 BLOCK = 8192
-#: Similar texts: Jaccard similarity of sets of WIDE-word shingles; and the bits that their fingerprints may differ in.
-SIMILAR, WIDE, LOOSE = 0.8, 5, 16
-#: A passage ends after a word whose hash is 0 modulo this; the passages of a text with the smallest hashes are its keys.
-PASSAGE, KEYS = 8, 8
-#: How many partners a text meets in a passage that up to SMALL share; in larger ones it is the nearest.
-PARTNERS = 3
-#: Members of one passage are compared in runs of so many, in the order of their rotated fingerprints.
-RUN = 512
+#: Similar texts: Jaccard similarity of sets of WIDE-word shingles, as numerator and denominator.
+SHARE, WIDE = (4, 5), 5
+#: Shingles that OFTEN or more texts of a sample of one in SAMPLE have are taken last; so many are known at most.
+SAMPLE, OFTEN, MOST_OFTEN = 16, 4, 1_000_000
+#: Rows are sent on in batches of so many.
+GATHER = 1 << 17
+#: The sketch of a shingle set has at least so many bits, and over twice the set's size; a power of two.
+SKETCH = 256
 #: Ids are broadcast up to so many.
 SMALL_IDS = 2_000_000
 #: Up to this group size pairs are compared by shifts over many groups at once.
@@ -179,108 +180,216 @@ def links(nodes: DataFrame) -> DataFrame:
     return dealt.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(_linked, "a bigint, b bigint")
 
 
-def passage_keys(ws: list[bytes]) -> list[int]:
-    """The KEYS smallest hashes of the passages of a text, as signed longs."""
-    cuts = [0, *(i + 1 for i, w in enumerate(ws) if not zlib.crc32(w) % PASSAGE)]
-    if cuts[-1] < len(ws):
-        cuts.append(len(ws))
-    found = {xxhash.xxh64_intdigest(b" ".join(ws[a:b]), 42) for a, b in zip(cuts, cuts[1:])}
-    return np.array(sorted(found)[:KEYS], np.uint64).view(np.int64).tolist()
+def shingle_set(text: str | None) -> np.ndarray:
+    """The distinct 64-bit hashes of a text's WIDE-word shingles, ascending."""
+    return np.unique(np.array(shingle_hashes(words(text), WIDE), np.uint64))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (rid, fp, text): a row (key, rot, rid, fp) for each key, rot the fingerprint turned by the key's low bits."""
+def _gathered(pieces: Iterator[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of GATHER rows or more, and a last one, from the columns of many small pieces."""
+    held: list[list[np.ndarray]] = []
+    rows = 0
+    for x in pieces:
+        held.append(x)
+        rows += len(x[0])
+        if rows >= GATHER:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
+            held, rows = [], 0
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names)
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text): a row for each distinct shingle of each."""
+    yield from _gathered(([shingle_set(t.as_py()).view(np.int64)] for b in batches for t in b.column(0)), ["token"])
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (rid, fp, text): the size of the text's shingle set, a digest of it, and its sketch: in each bit the parity of how many shingles fall there. Texts without words are left out."""
+
+    def fact(text: str | None) -> tuple[int, bytes, np.ndarray]:
+        s = shingle_set(text)
+        bits = max(SKETCH, 1 << (2 * len(s)).bit_length())
+        parity = np.bincount((s % np.uint64(bits)).astype(np.int64), minlength=bits) % 2 == 1
+        return len(s), xxhash.xxh128_digest(s.tobytes()), np.packbits(parity).view(np.int64)
+
     for b in batches:
-        keys = [passage_keys(words(x.as_py())) for x in b.column(2)]
-        row = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-        key = np.array([k for ks in keys for k in ks], np.int64)
-        fp = b.column(1).to_numpy()[row].view(np.uint64)
-        turn = key.view(np.uint64) & np.uint64(63)
-        rot = (fp << turn) | (fp >> ((np.uint64(64) - turn) & np.uint64(63)))
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rot.view(np.int64)), b.column(0).take(pa.array(row)), pa.array(fp.view(np.int64))], ["key", "rot", "rid", "fp"])
+        n, digest, sketch = zip(*[fact(t.as_py()) for t in b.column(2)]) if b.num_rows else ((), (), ())
+        out = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array(digest, pa.binary()), pa.array(list(sketch), pa.list_(pa.int64()))], ["rid", "fp", "n", "digest", "sketch"])
+        yield out.filter(pa.array([k > 0 for k in n], pa.bool_()))
 
 
-def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, rot, rid, fp), sorted by key and rot: for each row the nearest fingerprints of its run, if within LOOSE bits."""
+def _often(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that OFTEN or more of a sample of one text in SAMPLE have, ascending, and in how many; where over MOST_OFTEN qualify, the more frequent ones.
+
+    They only decide in which order shingles are taken, and so the cost: any order finds every pair.
+    """
+    tokens = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(_shingle_rows, "token bigint")
+    counts, least = saved(tokens.groupBy("token").agg(F.count("*").alias("c")).where(F.col("c") >= OFTEN)), OFTEN
+    while counts.where(F.col("c") >= least).count() > MOST_OFTEN:
+        least *= 2
+    t = counts.where(F.col("c") >= least).toArrow()
+    token, c = t.column(0).to_numpy().view(np.uint64), t.column(1).to_numpy()
+    order = np.argsort(token)
+    return token[order], c[order]
+
+
+def prefix(s: np.ndarray, often: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first n - ceil(4/5 n) + 1 of the n shingles s, by (how often sampled, hash), and how often they were.
+
+    Two sets of similarity SHARE share ceil(4/5 n) or more of either's n shingles, so the
+    first shingle that they share lies within the prefix of both.
+    """
+    c = np.zeros(len(s), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+        c = np.where(often[at] == s, count[at], 0)
+    first = np.lexsort((s, c))[: len(s) + (-SHARE[0] * len(s)) // SHARE[1] + 1]
+    return s[first], c[first]
+
+
+def _prefixes(often: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (rid, text): (token, part, rid, n, pos) for each shingle of the prefix. Those that more than BLOCK texts should have are dealt out as pairs of blocks, as in links()."""
+    known, count = often.value
+
+    def rows(rid: int, text: str | None) -> list[np.ndarray]:
+        s = shingle_set(text)
+        token, c = prefix(s, known, count)
+        blocks = np.maximum(1, -(-c * SAMPLE // BLOCK))
+        pos = np.repeat(np.arange(len(token)), blocks)
+        other = np.arange(len(pos)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        mine, blocks = (xxhash.xxh32_intdigest(rid.to_bytes(8, "big")) % blocks)[pos], blocks[pos]
+        part = np.minimum(mine, other) * blocks + np.maximum(mine, other)
+        return [token[pos].view(np.int64), part, np.full(len(pos), rid, np.int64), np.full(len(pos), len(s), np.int32), pos.astype(np.int32)]
+
+    yield from _gathered((rows(r.as_py(), t.as_py()) for b in batches for r, t in zip(b.column(0), b.column(1))), ["token", "part", "rid", "n", "pos"])
 
-    def pairs(key: np.ndarray, rid: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.append(cut, len(key)))
-        group = np.repeat(np.arange(len(cut)), size)
-        found: list[tuple[np.ndarray, ...]] = []
-        for shift in range(1, min(SMALL, int(size.max()))):
-            i = np.flatnonzero((group[shift:] == group[:-shift]) & (size[group[shift:]] <= SMALL))
-            d = np.bitwise_count(fp[i] ^ fp[i + shift])
-            i, d = i[d <= LOOSE], d[d <= LOOSE]
-            found += [(i, i + shift, d), (i + shift, i, d)]
-        if found:  # the PARTNERS nearest of each
-            i, j, d = (np.concatenate(x) for x in zip(*found))
-            order = np.lexsort((d, i))
-            i, j = i[order], j[order]
-            place = np.arange(len(i)) - np.searchsorted(i, i)
-            found = [(i[place < PARTNERS], j[place < PARTNERS])]
-        for g in np.flatnonzero(size > SMALL):
-            for low in range(cut[g], cut[g] + size[g], RUN):
-                f = fp[low : min(low + RUN, cut[g] + size[g])]
-                d = np.bitwise_count(f[:, None] ^ f[None, :]).astype(np.int64)
-                np.fill_diagonal(d, 65)
-                at = d.argmin(1)
-                i = np.flatnonzero(d[np.arange(len(f)), at] <= LOOSE)
-                found.append((low + i, low + at[i]))
-        if not found:
-            return
-        i, j = (np.concatenate(x) for x in zip(*found))
-        i, j = np.where(rid[i] < rid[j], i, j), np.where(rid[i] < rid[j], j, i)
-        if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rid[i], rid[j], fp[i].view(np.int64), fp[j].view(np.int64))], ["a", "b", "fp_a", "fp_b"])
 
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+    """Rows sorted by their first two columns (token, part): the columns in pieces of whole groups, where groups begin, and their sizes; groups of one are left out."""
     rest: list[np.ndarray] | None = None
+
+    def piece(now: list[np.ndarray]) -> Iterator[tuple[list[np.ndarray], np.ndarray, np.ndarray]]:
+        edge = (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])
+        keep = ~(np.concatenate([[True], edge]) & np.concatenate([edge, [True]]))
+        now = [x[keep] for x in now]
+        if len(now[0]):
+            cut = np.flatnonzero(np.concatenate([[True], (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])]))
+            yield now, cut, np.diff(np.append(cut, len(now[0])))
+
     for batch in batches:
-        now = [batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(3).to_numpy().view(np.uint64)]
+        now = [c.to_numpy() for c in batch.columns]
         now = now if rest is None else [np.concatenate(x) for x in zip(rest, now)]
         if not len(now[0]):
             continue
-        last = int(np.argmax(now[0] == now[0][-1]))
-        last += (len(now[0]) - last) // RUN * RUN  # whole runs of the last passage are done with
+        last = int(np.argmax((now[0] == now[0][-1]) & (now[1] == now[1][-1])))  # the last group may go on in the next batch
         if last:
-            yield from pairs(*(x[:last] for x in now))
+            yield from piece([x[:last] for x in now])
         rest = [x[last:] for x in now]
-    if rest is not None and len(rest[0]):
-        yield from pairs(*rest)
+    if rest is not None:
+        yield from piece(rest)
+
+
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of groups of two or more."""
+    for now, _, _ in _whole_groups(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in now], ["token", "part", "rid", "n", "pos"])
+
+
+def _crossing(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (token, part, rid, n, pos, root), sorted by token, part and n: all pairs of a group (or only those that follow each other) in different components whose sizes, and shingles left from here on, allow SHARE.
+
+    Where a pair meets at the first shingle that it shares, nothing before counts, so no similar pair is lost.
+    """
+    p, q = SHARE
+
+    def pairs() -> Iterator[list[np.ndarray]]:
+        for (_, _, rid, n, pos, root), cut, size in _whole_groups(batches):
+            n, left = n.astype(np.int64), (n - pos).astype(np.int64)
+
+            def allowed(i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
+                ok = (root[i] != root[j]) & (q * n[i] >= p * n[j]) & ((p + q) * np.minimum(left[i], left[j]) >= p * (n[i] + n[j]))  # noqa: B023
+                a, b = rid[i][ok], rid[j][ok]  # noqa: B023
+                return [np.minimum(a, b), np.maximum(a, b)]
+
+            group = np.repeat(np.arange(len(cut)), size)
+            for shift in range(1, min(SMALL, int(size.max())) if every else 2):
+                i = np.flatnonzero((group[shift:] == group[:-shift]) & (not every or size[group[shift:]] <= SMALL))
+                yield allowed(i, i + shift)
+            for g in np.flatnonzero(size > SMALL) if every else ():
+                for i in range(cut[g], cut[g] + size[g] - 1):
+                    j = np.arange(i + 1, cut[g] + size[g])
+                    yield allowed(np.full(len(j), i), j)
+
+    yield from _gathered(pairs(), ["a", "b"])
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = [sorted({xxhash.xxh32_intdigest(x) for x in shingles(words(t.as_py()), WIDE)}) for t in b.column(1)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rid", "s"])
+        for at in range(0, b.num_rows, 256):
+            x = b.slice(at, 256)
+            yield pa.RecordBatch.from_arrays([x.column(0), pa.array([shingle_set(t.as_py()).view(np.int64) for t in x.column(1)], pa.list_(pa.int64()))], ["rid", "s"])
 
 
-def similar_pairs(rows: DataFrame) -> DataFrame:
-    """rows(rid, fp, text), rid distinct: pairs (a, b) of fingerprints of texts with Jaccard similarity SIMILAR or more.
+def _ids(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
 
-    Every document meets, for each of its KEYS passages, the members of the passage's run with
-    the nearest fingerprints: a fixed number of candidates, however many share a passage.
-    Passages that many share are dealt to several tasks by range. Each pair that is returned
-    is verified on whole texts.
-    """
-    spark = rows.sparkSession
-    n = partitions(spark)
-    keyed = saved(rows.select("rid", "fp", "text").mapInArrow(_keyed, "key bigint, rot bigint, rid bigint, fp bigint"))
-    near = keyed.repartitionByRange(n, "key", "rot").sortWithinPartitions("key", "rot").mapInArrow(_nearest, "a bigint, b bigint, fp_a bigint, fp_b bigint")
-    near = saved(near.where("fp_a <> fp_b").distinct())
-    ids = saved(near.select(F.col("a").alias("rid")).union(near.select("b")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
-    sets = saved(rows.select("rid", "text").join(ids, "rid", "left_semi").mapInArrow(_shingle_sets, "rid bigint, s array<bigint>").select("rid", F.transform("s", lambda x: (x - (1 << 31)).cast("int")).alias("s")))
+
+def _halved(x: Column, size: Column) -> Column:
+    """The sketch x as one of size longs, if it has twice as many: parities of halves add up."""
+    return F.when(F.size(x) > size, F.zip_with(F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda low, high: low.bitwiseXOR(high))).otherwise(x)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of rids, those of similarity SHARE or more, as links of fingerprints. Sizes of a pair have passed _crossing()."""
+    p, q = SHARE
+    side = lambda x: facts.select(F.col("rid").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("fp", "n", "sketch")])
+    # parities differ in at most as many bits as the sets in shingles: that is at most (q - p) / (q + p) of both sizes
+    size = F.least(F.size("sketch_a"), F.size("sketch_b"))
+    parts = F.zip_with(_halved(F.col("sketch_a"), size), _halved(F.col("sketch_b"), size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(parts, F.lit(0), lambda s, x: s + x)
+    near = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(apart * (q + p) <= (F.col("n_a") + F.col("n_b")) * (q - p))
+    near = saved(near.select("a", "b", "fp_a", "fp_b"))
+    ids = _ids(saved(near.select(F.col("a").alias("rid")).union(near.select("b")).distinct()))
+    sets = saved(docs.join(ids, "rid", "left_semi").mapInArrow(_shingle_sets, "rid bigint, s array<bigint>"))
     both = near.join(sets.select(F.col("rid").alias("a"), F.col("s").alias("s_a")), "a").join(sets.select(F.col("rid").alias("b"), F.col("s").alias("s_b")), "b")
     shared = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(shared >= SIMILAR * (F.size("s_a") + F.size("s_b") - shared)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+    return saved(both.where(q * shared >= p * (F.size("s_a") + F.size("s_b") - shared)).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct())
 
 
-def near_components(rows: DataFrame, more: DataFrame | None = None) -> DataFrame:
-    """rows(doc_id, fp), and more links (a, b) of fingerprints if given: one row (fp, root, component_id) a distinct fingerprint; component_id is the smallest doc_id reachable, root a fingerprint of the component."""
+def similar_links(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """rows(rid, fp, text), rid distinct: links (a, b) of fingerprints that, with edges (those of links()), connect all texts of Jaccard similarity SHARE or more.
+
+    Equal shingle sets link at once and one of each goes on. Similar sets share a shingle of
+    their prefixes. Of those that share one, neighbours are verified first; then every pair
+    that is still in different components is. Each link is verified on whole sets.
+    """
+    n = partitions(rows.sparkSession)
+    facts = saved(rows.select("rid", "fp", "text").mapInArrow(_facts, "rid bigint, fp bigint, n int, digest binary, sketch array<bigint>"))
+    equal = saved(facts.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("rid", "fp")).alias("one")).where("n > 1"))
+    same = facts.join(equal.select("digest", "one"), "digest")
+    edges = saved(edges.unionByName(same.select(F.col("fp").alias("a"), F.col("one.fp").alias("b")).where("a <> b").distinct()))
+    others = _ids(saved(same.where("rid <> one.rid").select("rid")))
+    docs = rows.select("rid", "text").join(others, "rid", "left_anti")
+    often = rows.sparkSession.sparkContext.broadcast(_often(docs))
+    keyed = docs.mapInArrow(partial(_prefixes, often), "token bigint, part bigint, rid bigint, n int, pos int")
+    groups = saved(keyed.repartition(n, "token", "part").sortWithinPartitions("token", "part").mapInArrow(_repeated, keyed.schema))
+
+    def crossing(roots: DataFrame, every: bool) -> DataFrame:
+        of = saved(facts.select("rid", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("rid", F.coalesce("root", "fp").alias("root")))
+        rooted = groups.join(_ids(of), "rid").select("token", "part", "rid", "n", "pos", "root")
+        pairs = rooted.repartition(n, "token", "part").sortWithinPartitions("token", "part", "n", "rid").mapInArrow(partial(_crossing, every), "a bigint, b bigint")
+        return _verified(pairs, docs, facts)
+
+    for every in (False, True):
+        edges = saved(edges.unionByName(crossing(components(edges), every)))
+    return edges
+
+
+def near_components(rows: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """rows(doc_id, fp), and links (a, b) of fingerprints, those of links() if not given: one row (fp, root, component_id) a distinct fingerprint; component_id is the smallest doc_id reachable, root a fingerprint of the component."""
     nodes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    edges = links(nodes.select("fp"))
-    roots = components(saved(edges if more is None else edges.unionByName(more)))
+    roots = components(saved(links(nodes.select("fp")) if edges is None else edges))
     joined = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     joined = saved(joined)
     least = joined.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -301,11 +410,11 @@ def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, k: int = 3, similar: bool = True) -> DataFrame:
     """docs with one row of each component: the smallest doc_id (null last), of rows equal in that any one.
 
-    Fingerprints link at DIFFERING or fewer bits; with similar, texts of Jaccard similarity SIMILAR or more that similar_pairs() finds link as well.
+    Fingerprints link at DIFFERING or fewer bits; with similar, texts of Jaccard similarity SHARE or more link as well.
     """
     columns = docs.columns
     rows = saved(fingerprints(docs.select(*[F.col(f"`{c}`") for c in columns]), k, columns).withColumn("_rid", F.monotonically_increasing_id()))
-    more = saved(similar_pairs(rows.select(F.col("_rid").alias("rid"), "fp", "text"))) if similar else None
-    of = near_components(rows.select("doc_id", "fp"), more)
+    edges = similar_links(rows.select(F.col("_rid").alias("rid"), "fp", "text"), saved(links(rows.select("fp").distinct()))) if similar else None
+    of = near_components(rows.select("doc_id", "fp"), edges)
     best = rows.select("fp", "doc_id", "_rid").join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_rid")).alias("best"))
     return rows.join(best.select(F.col("best._rid").alias("_rid")), "_rid", "left_semi").select(*[F.col(f"`{c}`") for c in columns])

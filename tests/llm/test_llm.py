@@ -181,6 +181,42 @@ def test_similar_texts_are_dropped(spark):
     assert kept >= {i for i in range(10)} and len(kept & {20, 21}) == 1
 
 
+def brute_kept(docs, similar=True):
+    """The smallest ids of components by fingerprints and, exactly, by similarity of shingle sets."""
+    rows = docs.collect()
+    fps = {r.doc_id: fingerprint(r.text) for r in rows}
+    sets = {r.doc_id: frozenset(common.shingles(common.words(r.text), 5)) for r in rows}
+    root = brute_components(fps)
+    bits = len(set(root.values()))
+    for a in sets:
+        for b in sets:
+            if a < b and root[a] != root[b] and sets[a] and sets[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    return sorted(set(root.values())), bits
+
+
+def kept_ids(docs):
+    return sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect())
+
+
+def test_tight_clusters_that_are_similar_across_link(spark):
+    rng = random.Random(77)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared, out = [word() for _ in range(30)], []
+    for _ in range(12):  # two clusters of eight near copies each, some 0.85 similar across
+        one = [word() for _ in range(170)]
+        two = list(one)
+        for at in (40, 90, 140):
+            two[at] = word()
+        out += [" ".join([*shared, *x, word()]) for x in (one, two) for _ in range(8)]
+    out += [" ".join([*shared, *(word() for _ in range(60))]) for _ in range(300)]
+    docs = table(spark, out)
+    want, bits = brute_kept(docs)
+    assert len(want) == 12 + 300 and bits > len(want) + 6
+    assert kept_ids(docs) == want
+
+
 # ---- 6 ----
 
 
