@@ -217,6 +217,20 @@ def test_tight_clusters_that_are_similar_across_link(spark):
     assert kept_ids(docs) == want
 
 
+def test_short_similar_texts_link(spark):
+    rng = random.Random(78)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    out = []
+    for n in range(6, 31):
+        for _ in range(4):
+            one = [word() for _ in range(n)]
+            out += [" ".join(one), " ".join([*one, word()]), " ".join([*one[:-1], word()])]
+    docs = table(spark, out)
+    want, bits = brute_kept(docs)
+    assert bits > len(want) + 50
+    assert kept_ids(docs) == want
+
+
 # ---- 6 ----
 
 
