@@ -231,6 +231,32 @@ def test_short_similar_texts_link(spark):
     assert kept_ids(docs) == want
 
 
+def test_similar_texts_do_not_depend_on_layout(spark, monkeypatch):
+    rng = random.Random(79)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared, out = [word() for _ in range(70)], []
+    for _ in range(130):  # 520 texts with the same passages; pairs within a family are some 0.75 to 0.95 similar
+        own = [word() for _ in range(40)]
+        for _ in range(4):
+            x = list(own)
+            for at in rng.sample(range(40), rng.choice((1, 1, 2))):
+                x[at] = word()
+            out.append(" ".join([*shared, *x]))
+    docs = table(spark, out)
+    want, bits = brute_kept(docs)
+    assert len(want) > 50 and bits > len(want) + 50
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        for partitions, batch, block in ((2, 10000, simhash.BLOCK), (16, 50, 64)):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            monkeypatch.setattr(simhash, "BLOCK", block)
+            assert kept_ids(docs.repartition(partitions)) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # ---- 6 ----
 
 
