@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.scratch import saved, scratch_dir
+from ..plans.scratch import discard, remove_path, saved, scratch_dir  # noqa: F401
 
 #: ASCII white space, as a class for Java's and DuckDB's regular expressions.
 SPACE = r"[\x20\x09-\x0D]"

@@ -1,20 +1,24 @@
-"""Operator 4: removal of long repeated substrings by suffix order and longest-previous-factor.
-
-A suffix, cut after LENGTH bytes, has an earlier match of that length exactly if the
-nearest suffix before it in suffix order that starts earlier in the corpus shares all
-LENGTH bytes with it (longest previous factor), and a later match if the one after it does.
-With equal cut suffixes ordered by where they start these are its two neighbours.
-
-The order is built in parts that Spark deals out. Each string of LENGTH bytes belongs to
-the smallest hash among its GRAM-byte substrings, its anchor, so equal strings share their
-anchor, and a text falls into runs of starts with one anchor. Only anchors that occur
-more than once, in one run or several, can hold a repeat: their runs, with the bytes that the strings cover,
-are dealt out by anchor, and each task orders the cut suffixes of its anchors in numpy
-by a 128-bit rank of their bytes, then by where they start. Anchors of more than HOT runs
-are not put into one task; their cut suffixes are counted by rank with partial sums.
-
-Texts are worked on once each, however many copies they have, and are kept in a table
-bucketed by their SHA-256, which the later joins read without a shuffle of texts.
+"""Operator 4: removal of long repeated substrings by suffix order and longest-previous-factor arrays.
+
+A start is removed for if the string of LENGTH bytes from it on occurs elsewhere. In suffix
+order, the longest match of a suffix with one that starts earlier is with the nearest
+suffix before or after it in that order that starts earlier: its previous or next smaller
+position. The least of the LCPs in between, taken over both, is the longest previous factor,
+and the string has an earlier copy where that reaches LENGTH. The same over mirrored
+positions finds later copies.
+
+The order is built in parts that Spark deals out. Each string belongs to the smallest hash
+among its GRAM-byte substrings, its anchor, so equal strings share their anchor, and a text
+falls into runs of starts with one anchor. Anchors that occur once hold no repeat. Runs with
+one anchor and equal bytes (by digest) repeat each other in every start, and one of them
+goes on. Where an anchor has several different runs, their bytes are dealt out by anchor,
+and each task puts their suffixes in order by prefix doubling. An anchor with more than
+SLICE bytes of different runs is not put into one task: its runs are cut by longer
+substrings instead, up to LENGTH itself, where each start stands alone and equal ones
+meet by digest, with partial sums.
+
+Texts are worked on once each, however many copies they have. They are shuffled once,
+compressed, into a table bucketed by digest, which the later joins read without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,37 +29,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, WindowSpec
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, saved, scratch_dir, text_of
+from .common import discard, partitions, remove_path, saved, scratch_dir, text_of
 
 LENGTH, GRAM = 400, 64
-#: Anchors with more runs than this are counted by rank.
-HOT = 2000
-#: Starts, and runs (a whole anchor's beyond that), worked on at a time.
-CHUNK, SLICE = 1 << 20, 1000
+#: Bytes of runs that are ordered at a time, and at most for an anchor in one task. Positions in them are packed into POSITION bits.
+SLICE, POSITION = 1 << 20, 20
+#: Starts that are cut into runs at a time; a run has no more.
+CHUNK = 1 << 19
+#: Bytes of the substrings that are put in order first, and doubled from there.
+FIRST = 5
 
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_POWERS: dict[tuple[int, int], np.ndarray] = {}
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1) modulo 2 ** 64, kept for the largest n so far."""
-    have = _POWERS.get((base, 0))
+    have = _POWERS.get(base)
     if have is None or len(have) < n:
         p = np.full(n, np.uint64(base), np.uint64)
         p[0] = 1
-        have = _POWERS[base, 0] = np.cumprod(p)
+        have = _POWERS[base] = np.cumprod(p)
     return have[:n]
 
 
-def window_hashes(data: np.ndarray, width: int, base: int = _BASES[0]) -> np.ndarray:
-    """A mixed 64-bit polynomial hash of each substring of that width."""
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A mixed 64-bit polynomial hash of each substring of that width. It only says where strings meet, never that they are equal."""
     n = len(data)
     if n < width:
         return np.zeros(0, np.uint64)
-    up, down = _powers(base, n), _powers(pow(base, -1, 1 << 64), n)
+    up, down = _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(up * (data.astype(np.uint64) + np.uint64(1)), out=sums[1:])
     h = (sums[width:] - sums[:-width]) * down[: n - width + 1]
@@ -85,7 +93,10 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Of texts laid end to end: (text, first start, number of starts, anchor, whether the anchor occurs in it again) of each run of starts with one anchor."""
+    """Of texts laid end to end: (text, first start, number of starts, anchor, whether the anchor occurs in it again) of each run of starts with one anchor.
+
+    With gram equal to length every start is a run.
+    """
     span = length - gram + 1
     for low in range(0, max(0, len(data) - length + 1), CHUNK):
         part = data[low : low + CHUNK + length - 1]
@@ -94,44 +105,179 @@ def runs(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> Iterator[t
         start = np.arange(low, low + len(anchor))
         text = np.searchsorted(at, start, side="right") - 1
         inside = start + length <= at[text + 1]
-        cut = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])
-        cut &= inside
+        if span == 1:
+            cut = inside
+        else:
+            cut = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]) & inside
         first = np.flatnonzero(cut)
-        if len(first):
-            # the starts of a text that are inside come before those that are not
-            ends = np.append(first[1:], len(anchor))
-            good = np.concatenate([[0], np.cumsum(inside)])
-            n = good[ends] - good[first]
-            twice = np.zeros(len(first), bool)
-            for k in range(0, len(first), 4096):
-                f, v = first[k : k + 4096, None], anchor[first[k : k + 4096], None]
-                left = f[:, 0] + (grams[f + np.arange(span)] == v).argmax(1)
-                right = f[:, 0] + n[k : k + 4096] + span - 2 - (grams[f + n[k : k + 4096, None] + span - 2 - np.arange(span)] == v).argmax(1)
-                twice[k : k + 4096] = left != right
-            yield text[first], start[first] - at[text[first]], n, anchor[first], twice
-
-
-def _runs_of(length: int, gram: int):
+        if not len(first):
+            continue
+        # the starts of a text that are inside come before those that are not
+        good = np.concatenate([[0], np.cumsum(inside)])
+        n = good[np.append(first[1:], len(anchor))] - good[first]
+        twice = np.zeros(len(first), bool)
+        for k in range(0, len(first) if span > 1 else 0, 4096):
+            f, m, v = first[k : k + 4096, None], n[k : k + 4096], anchor[first[k : k + 4096], None]
+            left = f[:, 0] + (grams[f + np.arange(span)] == v).argmax(1)
+            right = f[:, 0] + m + span - 2 - (grams[f + m[:, None] + span - 2 - np.arange(span)] == v).argmax(1)
+            twice[k : k + 4096] = left != right
+        yield text[first], start[first] - at[text[first]], n, anchor[first], twice
+
+
+_RUN = "anchor bigint, context binary, text binary, ord bigint, s bigint, n int, twice boolean"
+
+
+def _laid(rows: Iterator[tuple]) -> Iterator[tuple[bytes, np.ndarray, list[tuple]]]:
+    """(bytes, ...) in groups of some CHUNK bytes: end to end, where each begins and the last ends, and what else is in the rows."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[0])
+        if size >= CHUNK:
+            yield b"".join(r[0] for r in held), np.cumsum([0, *(len(r[0]) for r in held)]), [r[1:] for r in held]
+            held, size = [], 0
+    if held:
+        yield b"".join(r[0] for r in held), np.cumsum([0, *(len(r[0]) for r in held)]), [r[1:] for r in held]
+
+
+def _found(rows: Iterator[tuple], length: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """Rows (bytes, text, ord, where the bytes begin in the text): their runs."""
+    names = [c.split()[0] for c in _RUN.split(", ")]
+    for data, at, of in _laid(rows):
+        view = memoryview(data)
+        digest = lambda low, high: hashlib.blake2b(view[low:high], digest_size=16).digest()  # noqa: B023, E731
+        for text, s, n, anchor, twice in runs(np.frombuffer(data, np.uint8), at, length, gram):
+            low = at[text] + s
+            context = [digest(a, b) for a, b in zip(low.tolist(), (low + n + length - 1).tolist())]
+            who = [of[i] for i in text.tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor.view(np.int64)), pa.array(context, pa.binary()), pa.array([w[0] for w in who], pa.binary()), pa.array([w[1] for w in who], pa.int64()), pa.array(s + np.array([w[2] for w in who])), pa.array(n.astype(np.int32)), pa.array(twice)],
+                names,
+            )
+
+
+def _runs_of_texts(length: int, gram: int):
+    """Rows (text, ord, z): the runs of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        yield from _found(((unpack(z.as_py()), t.as_py(), o.as_py(), 0) for b in batches for t, o, z in zip(*b.columns)), length, gram)
+
+    return run
+
+
+def _runs_of_runs(length: int, gram: int):
+    """Rows (text, ord, s, bytes): the runs, by a longer gram, of each run's bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _found(((x.as_py(), t.as_py(), o.as_py(), s.as_py()) for b in batches for t, o, s, x in zip(*b.columns)), length, gram)
+
+    return run
+
+
+def _contexts(length: int):
+    """Rows (text, z, runs): each run with the bytes that its strings cover."""
+    names = ["anchor", "ord", "text", "s", "n", "hot", "bytes"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            data, at = _flat(b.column(1))
-            for text, s, n, anchor, twice in runs(data, at, length, gram):
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), b.column(0).take(pa.array(text)), pa.array(s), pa.array(n.astype(np.int32)), pa.array(twice)], ["anchor", "digest", "s", "n", "twice"])
+            for text, z, rs in zip(*b.columns):
+                data, text, rs = unpack(z.as_py()), text.as_py(), rs.as_py()
+                for at in range(0, len(rs), 1024):
+                    part = rs[at : at + 1024]
+                    columns = [[r[c] for r in part] for c in ("anchor", "ord", "s", "n", "hot")]
+                    cut = [data[s : s + n + length - 1] for s, n in zip(*columns[2:4])]
+                    arrays = [pa.array(x, t) for x, t in zip([*columns[:2], [text] * len(part), *columns[2:], cut], (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()))]
+                    yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
 
 
-def _ranks(data: np.ndarray, at: np.ndarray, n: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """For runs' bytes end to end: (run, offset in it, two halves of the rank) of each cut suffix."""
-    own = np.repeat(np.arange(len(n)), n)
-    first = np.concatenate([[0], np.cumsum(n)])
-    offset = np.arange(len(own)) - first[own]
-    where = at[:-1][own] + offset
-    return own, offset, window_hashes(data, length, _BASES[0])[where], window_hashes(data, length, _BASES[1])[where]
+def _ranked(key: np.ndarray) -> np.ndarray:
+    """The rank of each key (below 2 ** 40) among the different ones."""
+    x = np.sort((key << POSITION) | np.arange(len(key)))
+    new = np.concatenate([[0], (x[1:] >> POSITION) != (x[:-1] >> POSITION)])
+    rank = np.empty(len(key), np.int64)
+    rank[x & ((1 << POSITION) - 1)] = np.cumsum(new)
+    return rank
+
+
+def _later(x: np.ndarray, by: int) -> np.ndarray:
+    """x from `by` places on, with zeros after its end."""
+    out = np.zeros_like(x)
+    out[: len(x) - by] = x[by:]
+    return out
+
+
+def suffix_ranks(data: np.ndarray, length: int) -> list[tuple[int, np.ndarray]]:
+    """Prefix doubling: (width, the rank of each substring of that width by its bytes), up to length. At most 2 ** POSITION bytes; substrings that pass the end count as filled with zeros."""
+    width = min(FIRST, length)
+    key = np.zeros(len(data), np.int64)
+    for i in range(width):
+        key = (key << 8) | _later(data.astype(np.int64), min(i, len(data)))
+    out = [(width, _ranked(key))]
+    while width < length:
+        step = min(width, length - width)
+        rank = out[-1][1]
+        out.append((width + step, _ranked((rank << POSITION) | _later(rank, min(step, len(data))))))
+        width += step
+    return out
+
+
+def common_prefixes(data: np.ndarray, ranks: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """LCPs, at most the last width of ranks, of the substrings that begin at a and at b."""
+    length, last = ranks[-1][0], len(data) - 1
+    off = np.zeros(len(a), np.int64)
+    for width, rank in reversed(ranks):
+        at, bt = np.minimum(a + off, last), np.minimum(b + off, last)
+        off += width * ((rank[at] == rank[bt]) & (off + width <= length))
+    open_ = np.ones(len(a), bool)
+    for _ in range(ranks[0][0] - 1):
+        at, bt = a + off, b + off
+        open_ &= (off < length) & (at <= last) & (bt <= last)
+        open_ &= data[np.minimum(at, last)] == data[np.minimum(bt, last)]
+        off += open_
+    return off
+
+
+def longest_previous_factor(position: np.ndarray, lcp: np.ndarray, least: int = 1) -> np.ndarray:
+    """For suffixes in order, with their positions and each one's LCP with the one before it: the longest match with an earlier position.
+
+    Previous and next smaller positions are found for all at once: whoever points at a larger
+    position takes over where that one points, with the least LCP on the way. Matches shorter
+    than `least` are not followed and may come out shorter than they are.
+    """
+
+    def previous(position: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+        to, low = np.arange(len(position)) - 1, lcp.copy()
+        low[:1] = 0
+        while True:
+            i = np.flatnonzero((low >= least) & (position[to] > position))
+            if not len(i):
+                return np.where(low >= least, low, 0)
+            j = to[i]
+            low[i], to[i] = np.minimum(low[i], low[j]), to[j]
+
+    back = previous(position[::-1], np.append(lcp[1:], 0)[::-1])[::-1]
+    return np.maximum(previous(position, lcp), back)
+
+
+def repeated_starts(data: np.ndarray, start: np.ndarray, length: int, later_only: bool) -> np.ndarray:
+    """Of starts in data, in the order in which they come in the corpus: whether the string of `length` bytes has an earlier copy (or a later one, unless later_only)."""
+    ranks = suffix_ranks(data, length)
+    order = np.sort((ranks[-1][1][start] << POSITION) | np.arange(len(start))) & ((1 << POSITION) - 1)
+    lcp = np.concatenate([[0], common_prefixes(data, ranks, start[order[:-1]], start[order[1:]])])
+    flag = np.zeros(len(start), bool)
+    flag[order] = longest_previous_factor(order, lcp, length) >= length
+    if not later_only:
+        flag[order] |= longest_previous_factor(-order, lcp, length) >= length
+    return flag
 
 
 def _spans(own: np.ndarray, offset: np.ndarray, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of flagged consecutive cut suffixes: (run, first offset, last offset)."""
+    """Maximal runs of flagged consecutive starts: (run, first offset, last offset)."""
     i = np.flatnonzero(flag)
     if not len(i):
         return i, i, i
@@ -141,23 +287,31 @@ def _spans(own: np.ndarray, offset: np.ndarray, flag: np.ndarray) -> tuple[np.nd
 
 
 def _order(length: int, later_only: bool):
-    """Rows (anchor, digest, first_id, s, n, bytes), sorted by anchor, first_id, digest, s: spans (digest, b, e) to remove."""
+    """Rows (anchor, ord, text, s, n, bytes), sorted by the first four: spans (text, b, e) to remove. An anchor's runs are ordered together; small anchors are put together up to SLICE bytes."""
 
     def spans(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        anchor = batch.column(0).to_numpy()
         data, at = _flat(batch.column(5))
-        own, offset, rank, rank2 = _ranks(data, at, batch.column(4).to_numpy(), length)
-        order = np.argsort(rank, kind="stable")  # equal suffixes stay in the order of their starts
-        a, b = order[:-1], order[1:]
-        equal = (rank[a] == rank[b]) & (rank2[a] == rank2[b]) & (anchor[own[a]] == anchor[own[b]])
-        flag = np.zeros(len(own), bool)
-        flag[b[equal]] = True  # an earlier match: longest previous factor
-        if not later_only:
-            flag[a[equal]] = True
-        run, first, last = _spans(own, offset, flag)
+        n = batch.column(4).to_numpy().astype(np.int64)
+        own = np.repeat(np.arange(len(n)), n)
+        offset = np.arange(len(own)) - (np.cumsum(n) - n)[own]
+        run, first, last = _spans(own, offset, repeated_starts(data, at[:-1][own] + offset, length, later_only))
         if len(run):
             s = batch.column(3).to_numpy()[run]
-            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(run)), pa.array(s + first), pa.array(s + last + length)], ["digest", "b", "e"])
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(pa.array(run)), pa.array(s + first), pa.array(s + last + length)], ["text", "b", "e"])
+
+    def sliced(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not sum(p.num_rows for p in parts):
+            return
+        table = pa.Table.from_batches(parts)
+        anchor = table.column(0).to_numpy()
+        ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+        size = np.concatenate([[0], np.cumsum(pc.binary_length(table.column(5)).to_numpy().astype(np.int64))])
+        at = 0
+        while at < len(anchor):
+            whole = np.flatnonzero((ends > at) & (size[ends] - size[at] <= SLICE))
+            to = int(ends[whole[-1]])
+            yield from spans(table.slice(at, to - at).combine_chunks().to_batches()[0])  # SLICE bytes are one batch
+            at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -165,118 +319,136 @@ def _order(length: int, later_only: bool):
             if not batch.num_rows:
                 continue
             anchor = batch.column(0).to_numpy()
-            last = int(np.argmax(anchor == anchor[-1]))
+            last = int(np.argmax(anchor == anchor[-1]))  # the last anchor may go on in the next batch
             if not last and (not rest or rest[-1].column(0)[-1].as_py() == anchor[-1]):
                 rest.append(batch)
                 continue
-            yield from sliced(_joined([*rest, batch.slice(0, last)]))
+            yield from sliced([*rest, batch.slice(0, last)])
             rest = [batch.slice(last)]
-        if rest:
-            yield from sliced(_joined(rest))
-
-    def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        anchor = batch.column(0).to_numpy()
-        cuts = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
-        at = 0
-        while at < len(anchor):
-            to = int(cuts[min(np.searchsorted(cuts, at + SLICE), len(cuts) - 1)])
-            yield from spans(batch.slice(at, to - at))
-            at = to
+        yield from sliced(rest)
 
     return run
 
 
-def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if sum(p.num_rows for p in parts) else parts[0]
-
-
-def _hot_ranks(length: int):
-    """Rows (anchor, digest, first_id, s, n, bytes): a row (digest, first_id, start, rank, rank2) for each cut suffix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, SLICE):
-                b = batch.slice(low, SLICE)
-                data, at = _flat(b.column(5))
-                own, offset, rank, rank2 = _ranks(data, at, b.column(4).to_numpy(), length)
-                rows = pa.array(own)
-                yield pa.RecordBatch.from_arrays([b.column(1).take(rows), b.column(2).take(rows), pa.array(b.column(3).to_numpy()[own] + offset), pa.array(rank.view(np.int64)), pa.array(rank2.view(np.int64))], ["digest", "first_id", "start", "rank", "rank2"])
-
-    return run
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, data, id): data compressed."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(x.as_buffer()) for x in b.column(1)], pa.binary()), b.column(2)], ["text", "z", "id"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (digest, copies, whole, bytes, spans): what is left of each text."""
+    """Rows (text, whole, z, spans): what is left of each text."""
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+    unpack = zstandard.ZstdDecompressor().decompress
     for b in batches:
-        out = []
-        for digest, whole, later, data, spans in zip(*(b.column(i) for i in range(5))):
-            data = data.as_py()
-            merged: list[list[int]] = [[0, len(data)]] if whole.as_py() and data else []
-            for x in [] if merged else sorted((x["b"], x["e"]) for x in spans.as_py() or ()):
-                if merged and x[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], x[1])
-                else:
-                    merged.append(list(x))
-            kept, at = [], 0
-            for s, e in merged:
-                kept.append(data[at:s])
-                at = e
-            kept = b"".join([*kept, data[at:]])
-            out.append((digest.as_py(), len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), kept))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))] if out else [pa.array([], t) for t in (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())], ["digest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, remove: str = "all", hot: int = HOT, with_kept: bool = False) -> DataFrame:
-    """A row for each of docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the bytes left).
+        for low in range(0, b.num_rows, 256):
+            out = []
+            for text, whole, z, spans in zip(*b.slice(low, 256).columns):
+                data = unpack(z.as_py())
+                merged: list[list[int]] = [[0, len(data)]] if whole.as_py() else []
+                for x in [] if merged else sorted((x["b"], x["e"]) for x in spans.as_py() or ()):
+                    if merged and x[0] <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], x[1])
+                    else:
+                        merged.append(list(x))
+                kept, at = [], 0
+                for s, e in merged:
+                    kept.append(data[at:s])
+                    at = e
+                kept = b"".join([*kept, data[at:]])
+                out.append((text.as_py(), len(data), len(data) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), kept))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], ["text", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+
+def _text(column: Column) -> Column:
+    """The number of a text: half of its SHA-256."""
+    return F.substring(F.unhex(F.sha2(column, 256)), 1, 16)
+
+
+def grams(length: int, gram: int) -> list[int]:
+    """Lengths of the substrings that anchors are taken from, one level after the other."""
+    return sorted({gram, length - (length - gram) // 8, length})
+
+
+def _level(texts: DataFrame, found: DataFrame, length: int, later: bool, slice_bytes: int, last: bool) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
+    """Of saved runs: spans to remove (text, b, e), the runs (with bytes) of anchors that are too large for a task, and tables to delete."""
+    n = partitions(texts.sparkSession)
+    often = saved(found.groupBy("anchor").agg(F.count("*").alias("times"), F.max("twice").alias("again")).where("times > 1 or again").select("anchor"))
+    again = saved(found.join(often, "anchor"))
+    discard(found, often)
+    mine = F.struct("ord", "text", "s")
+    classes = saved(again.groupBy("anchor", "context").agg(F.count("*").alias("members"), F.min(mine).alias("head"), F.first("n").alias("n"), F.max("twice").alias("twice")))
+    # equal runs: all of their starts are repeated
+    equal = again.join(classes.where("members > 1").select("anchor", "context", "head"), ["anchor", "context"])
+    equal = equal.where(mine != F.col("head")) if later else equal
+    spans = saved(equal.select("text", F.col("s").alias("b"), (F.col("s") + F.col("n") + (length - 1)).alias("e")))
+    if last:
+        return spans, None, [again, classes]
+    kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(F.col("n") + (length - 1)).alias("size"), F.max("twice").alias("again")).where("kinds > 1 or again").select("anchor", (F.col("size") > slice_bytes).alias("hot"))
+    heads = classes.join(kinds, "anchor").groupBy("head.text").agg(F.collect_list(F.struct("anchor", F.col("head.ord").alias("ord"), F.col("head.s").alias("s"), "n", "hot")).alias("runs"))
+    context = saved(texts.join(heads, "text").select("text", "z", "runs").mapInArrow(_contexts(length), "anchor bigint, ord bigint, text binary, s bigint, n int, hot boolean, bytes binary"))
+    dealt = context.where(~F.col("hot")).select("anchor", "ord", "text", "s", "n", "bytes").repartition(n, "anchor").sortWithinPartitions("anchor", "ord", "text", "s")
+    ordered = saved(dealt.mapInArrow(_order(length, later), "text binary, b bigint, e bigint"))
+    hot = context.where("hot").select("text", "ord", "s", "bytes")
+    return spans.unionByName(ordered), None if hot.isEmpty() else hot, [again, classes, context]
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, remove: str = "all", slice_bytes: int = SLICE, with_kept: bool = False) -> DataFrame:
+    """A row for each of docs(doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, changed (and kept, the bytes left).
 
     Texts are UTF-8 bytes, null text is empty. Every byte is removed that lies in a string
     of `length` bytes which also starts elsewhere, in another text or the same one (with
     itself overlapping as well); remove="later" keeps the first of the equal strings, in the
     order of texts' smallest doc_id (null last), then of starts: texts that are copies of an
-    earlier document go whole. Texts shorter than length stay. Repeated rows are copies of
-    each other. An empty table gives an empty table.
+    earlier document go whole. changed says whether anything is removed. Texts shorter than
+    length stay. Repeated rows, null doc_ids included, are copies of each other. Other columns
+    of docs are not read, whatever their names. An empty table gives an empty table.
     """
     spark = docs.sparkSession
     later = remove == "later"
     n = partitions(spark)
-    ids = docs.select("doc_id", F.unhex(F.sha2(text_of(), 256)).alias("digest"))
-    table = f"labelloom_{uuid.uuid4().hex}"
-    # one row a text; grouping orders by digest what is then written in its bucket
-    texts = docs.select(F.unhex(F.sha2(text_of(), 256)).alias("digest"), text_of().cast("binary").alias("data"), F.col("doc_id").alias("id"))
-    texts = texts.groupBy("digest").agg(F.first("data").alias("data"), F.count("*").alias("copies"), F.coalesce(F.min("id"), F.lit(2**63 - 1)).alias("first_id"))
-    texts.write.bucketBy(n, "digest").option("path", scratch_dir(spark)).saveAsTable(table)
+    docs = docs.select("doc_id", text_of().alias("text"))
+    long_ = F.octet_length("text") >= length
+    # one row a text; grouping orders by text what is then written in its bucket
+    table, path = f"labelloom_{uuid.uuid4().hex}", scratch_dir(spark)
+    packed = docs.where(long_).select(_text(F.col("text")).alias("t"), F.col("text").cast("binary"), "doc_id").mapInArrow(_packed, "text binary, z binary, id bigint")
+    texts = packed.groupBy("text").agg(F.first("z").alias("z"), F.count("*").alias("copies"), F.coalesce(F.min("id"), F.lit(2**63 - 1)).alias("first_id"))
+    texts.write.bucketBy(n, "text").option("path", path).option("compression", "uncompressed").saveAsTable(table)
     texts = spark.table(table)
 
-    found = saved(texts.select("digest", "data").mapInArrow(_runs_of(length, gram), "anchor bigint, digest binary, s bigint, n int, twice boolean"))
-    often = found.groupBy("anchor").agg(F.count("*").alias("times"), F.max("twice").alias("twice")).where("times > 1 or twice").drop("twice")
-    again = found.join(often, "anchor").select("digest", "anchor", "s", "n", "times")
-    of_text = again.groupBy("digest").agg(F.collect_list(F.struct("anchor", "s", "n", "times")).alias("runs"))
-    near = texts.join(of_text, "digest").select("digest", "first_id", F.transform("runs", lambda r: F.struct(r["anchor"].alias("anchor"), r["s"].alias("s"), r["n"].alias("n"), r["times"].alias("times"), F.expr("data").substr(r["s"].cast("int") + 1, r["n"] + (length - 1)).alias("bytes"))).alias("runs"))
-    context = near.select("digest", "first_id", F.inline("runs")).select("anchor", "digest", "first_id", "s", "n", "bytes", "times")
-    columns = ["anchor", "digest", "first_id", "s", "n", "bytes"]
-    dealt = context.where(F.col("times") <= hot).select(columns).repartition(n, "anchor").sortWithinPartitions("anchor", "first_id", "digest", "s")
-    spans = dealt.mapInArrow(_order(length, later), "digest binary, b bigint, e bigint")
-    if not often.where(F.col("times") > hot).isEmpty():
-        ranked = saved(context.where(F.col("times") > hot).select(columns).mapInArrow(_hot_ranks(length), "digest binary, first_id bigint, start bigint, rank bigint, rank2 bigint"))
-        repeated = ranked.groupBy("rank", "rank2").agg(F.count("*").alias("times"), F.min(F.struct("first_id", "digest", "start")).alias("earliest")).where("times > 1")
-        hit = ranked.join(repeated, ["rank", "rank2"])
-        hit = hit.where(F.struct("first_id", "digest", "start") != F.col("earliest")) if later else hit
-        spans = spans.unionByName(hit.select("digest", F.col("start").alias("b"), (F.col("start") + length).alias("e")))
-    spans = spans.groupBy("digest").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
-    whole = (F.col("copies") > 1) & (F.length("data") >= length) & F.lit(not later)
-    left = texts.join(spans, "digest", "left").select("digest", whole.alias("whole"), F.lit(later).alias("later"), "data", "spans")
-    left = left.mapInArrow(_cut, "digest binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    # only the order of texts matters, and only where the first is kept
+    source = texts.select("text", (F.col("first_id") if later else F.lit(0).cast("bigint")).alias("ord"), "z").mapInArrow(_runs_of_texts(length, gram), _RUN)
+    spans, over = [], []
+    levels = grams(length, gram)
+    for level, size in enumerate(levels):
+        own, hot, done = _level(texts, saved(source), length, later, slice_bytes, size == length)
+        spans.append(own)
+        over += done
+        if hot is None:
+            break
+        source = hot.mapInArrow(_runs_of_runs(length, levels[level + 1]), _RUN)
+    every = spans[0]
+    for x in spans[1:]:
+        every = every.unionByName(x)
+    every = every.groupBy("text").agg(F.collect_list(F.struct("b", "e")).alias("spans"))
+    whole = (F.col("copies") > 1) & F.lit(not later)
+    left = texts.join(every, "text", "left").select("text", whole.alias("whole"), "z", "spans")
+    left = left.mapInArrow(_cut, "text binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     left = saved(left if with_kept else left.drop("kept"))
-    spark.sql(f"DROP TABLE {table}")  # its files go with the shared folder
-    out = ids.join(left, "digest")
-    if later:  # of the copies of a text only the first document keeps it
-        first = ids.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("f"))
-        gone = F.row_number().over(_copies()) > 1
-        out = out.join(first, "digest").withColumn("gone", (F.col("n_bytes") >= length) & ((~F.col("doc_id").eqNullSafe(F.col("f.doc_id"))) | gone))
-        out = out.withColumns({"n_removed": F.when(F.col("gone"), F.col("n_bytes")).otherwise(F.col("n_removed")), "n_spans": F.when(F.col("gone"), 1).otherwise(F.col("n_spans")).cast("bigint"), "kept_sha256": F.when(F.col("gone"), F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256"))} | ({"kept": F.when(F.col("gone"), F.lit(b"")).otherwise(F.col("kept"))} if with_kept else {}))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_kept else []))
-
-
-def _copies() -> WindowSpec:
-    """Rows of one text with one doc_id: those are repeated rows, of which the first keeps the text."""
-    return Window.partitionBy("digest", "doc_id").orderBy(F.lit(1))
+    spark.sql(f"DROP TABLE {table}")
+    remove_path(spark, path)
+    discard(*over)
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.expr("n_removed > 0").alias("changed"), *(["kept"] if with_kept else [])]
+    zero = F.lit(0).cast("bigint")
+    short = docs.where(~long_).select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), F.col("text").cast("binary").alias("kept"))
+    rows = docs.where(long_).select("doc_id", _text(F.col("text")).alias("text"))
+    if not later:
+        return rows.join(left, "text").select(columns).unionByName(short.select(columns))
+    # of the copies of a text only the first document keeps it, and of its repeated rows one
+    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()))
+    first = rows.groupBy("text").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    gone = F.col("row") != F.col("first.row")
+    out = rows.join(saved(first), "text").join(left, "text")
+    out = out.withColumns({"n_removed": F.when(gone, F.col("n_bytes")).otherwise(F.col("n_removed")), "n_spans": F.when(gone, 1).otherwise(F.col("n_spans")).cast("bigint"), "kept_sha256": F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256"))} | ({"kept": F.when(gone, F.lit(b"")).otherwise(F.col("kept"))} if with_kept else {}))
+    return out.select(columns).unionByName(short.select(columns))

@@ -405,15 +405,15 @@ def brute_repeats(docs, length, later=False):
     return out
 
 
-@pytest.mark.parametrize("hot", [2000, 2])
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 150, 0])
 @pytest.mark.parametrize("remove", ["all", "later"])
-def test_suffix_dedup(spark, hot, remove):
+def test_suffix_dedup(spark, slice_bytes, remove):
     rng = random.Random(7)
     passage = "".join(rng.choice("abcdeé") for _ in range(90))
     docs = ["".join(rng.choice("ab") for _ in range(rng.randrange(70))) for _ in range(40)] + [f"{i}{passage}{i * 7}" for i in range(12)] + ["z" * 300, passage, passage, None, "", "short"]
     docs = list(enumerate(docs))
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, 20, 8, remove, hot).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(df, 20, 8, remove, slice_bytes).collect()}
     want = brute_repeats(docs, 20, remove == "later")
     assert {i: (got[i], want[i]) for i in want if got[i] != want[i]} == {}
     assert suffix_dedup.remove_repeats(df.limit(0), 20, 8, remove).count() == 0
@@ -421,7 +421,7 @@ def test_suffix_dedup(spark, hot, remove):
 
 def test_suffix_dedup_of_repeated_rows_and_long_texts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 1000)
-    monkeypatch.setattr(suffix_dedup, "SLICE", 3)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 8000)
     rng = random.Random(1)
     long = "".join(rng.choice("abc") for _ in range(6000))
     rows = [(0, long), (1, long[:3000]), (2, "q" * 900), (3, "unique " * 3), (4, "".join(rng.choice("xyz") for _ in range(900)))]
@@ -434,6 +434,40 @@ def test_suffix_dedup_of_repeated_rows_and_long_texts(spark, monkeypatch):
     assert sorted(r.n_removed for r in first) == [0, 900]
 
 
+def test_longest_previous_factors_are_those_of_the_text():
+    rng = np.random.default_rng(4)
+    for length, letters in ((1, 2), (7, 2), (20, 2), (40, 1), (33, 3), (400, 2)):
+        data = np.concatenate([rng.integers(97, 97 + letters, 600), np.tile(rng.integers(97, 100, 90), 3)]).astype(np.uint8)
+        raw, start = data.tobytes(), np.flatnonzero(rng.random(len(data) - length + 1) < 0.5)
+        ranks = suffix_dedup.suffix_ranks(data, length)
+        order = np.lexsort((np.arange(len(start)), ranks[-1][1][start]))
+        cut = [raw[s : s + length] for s in start]
+        assert [cut[i] for i in order] == sorted(cut)
+
+        def common(a, b):
+            return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), length)
+
+        lcp = np.concatenate([[0], suffix_dedup.common_prefixes(data, ranks, start[order[:-1]], start[order[1:]])])
+        assert lcp[1:].tolist() == [common(cut[a], cut[b]) for a, b in zip(order, order[1:])]
+        got = np.empty(len(start), int)
+        got[order] = suffix_dedup.longest_previous_factor(order, lcp)
+        assert got.tolist() == [max([common(cut[i], cut[j]) for j in range(i)], default=0) for i in range(len(start))]
+        for later in (True, False):
+            want = [cut[i] in cut[:i] or (not later and cut[i] in cut[i + 1 :]) for i in range(len(start))]
+            assert suffix_dedup.repeated_starts(data, start, length, later).tolist() == want
+
+
+def test_suffix_dedup_handles_clashing_names_and_null_ids(spark):
+    rows = [(None, "ab" * 300, "x"), (None, "ab" * 300, "x"), (7, "ab" * 250, "y"), (8, "short", "z"), (None, None, "z"), (9, "é" * 199, "q")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, z string").withColumns({c: F.lit(1) for c in ("bytes", "spans", "n_removed", "ANCHOR", "digest")})
+    for remove, want in (("all", [(600, 600), (600, 600), (500, 500), (5, 0), (0, 0), (398, 0)]), ("later", [(600, 600), (600, 600), (500, 100 - 1), (5, 0), (0, 0), (398, 0)])):
+        got = suffix_dedup.remove_repeats(df, remove=remove).collect()
+        if remove == "all":
+            assert sorted((r.n_bytes, r.n_removed) for r in got) == sorted(want) and all(r.changed == (r.n_removed > 0) for r in got)
+        else:
+            assert sorted(r.doc_id is None for r in got if r.n_bytes == 600 and r.n_removed == 600) == [True, True] and next(r for r in got if r.doc_id == 7).n_removed == 498
+
+
 # ---- 5 ----
 
 ASSIGN = re.compile(r"""(?ia:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
