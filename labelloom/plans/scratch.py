@@ -31,7 +31,7 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder, by the file system that it is in."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
@@ -41,7 +41,7 @@ def discard(*tables: DataFrame) -> None:
     """Delete tables that saved() wrote. Only for those that nothing will read again: what was made of them has to be written already."""
     for t in tables:
         for path in {f.rpartition("/")[0] for f in t.inputFiles()}:
-            remove(t.sparkSession, path)
+            remove_path(t.sparkSession, path)
 
 
 def small(df: DataFrame) -> DataFrame:
