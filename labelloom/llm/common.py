@@ -7,6 +7,7 @@ from itertools import accumulate
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans.scratch import discard, remove_path, saved, scratch_dir  # noqa: F401
 
@@ -16,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: No table above this many bytes is broadcast, by a count made beforehand.
 BROADCAST_BYTES = 64 << 20
+#: The most groups that joined_by_group() broadcasts.
+MOST_HOT = 10_000
 
 
 def partitions(spark: SparkSession) -> int:
@@ -27,6 +30,38 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def others(df: DataFrame, *new: str) -> list[str]:
+    """The columns of df whose names are not among new, in whatever case: names that Spark could not tell apart."""
+    taken = {n.lower() for n in new}
+    return [c for c in df.columns if c.lower() not in taken]
+
+
+def packed(df: DataFrame, columns: list[str] | None = None, **more: Column) -> DataFrame:
+    """One column `row`, a struct of df's columns (all by default), and more columns beside it. Work on the latter cannot meet names of the caller's; select("row.*") gives them back as they were."""
+    return df.select(F.struct(*[quoted(c) for c in (df.columns if columns is None else columns)]).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def with_types(df: DataFrame, more: str) -> StructType:
+    """The schema of df with more columns, as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
+def joined_by_group(rows: DataFrame, groups: DataFrame, key: str, size: str, count: int) -> DataFrame:
+    """rows(key, ...), `count` of them, with the columns of groups(key, size, ...), one row a key, inner. Both are read several times, so they should be saved.
+
+    Groups of more than count / MOST_HOT rows, at most MOST_HOT of them, are broadcast; so a
+    key that is shuffled has few rows, and no task gets a hot group.
+    """
+    bound = count // MOST_HOT + 1
+    hot = groups.where(F.col(size) > bound)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.where(F.col(size) <= bound), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def sampled(df: DataFrame, key: str, most: int) -> DataFrame:
     """At most `most` rows of df, those with the smallest hash of key.
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import others, packed, saved, with_types
 
 #: A public byte-level BPE vocabulary as ranks; the path is a parameter.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -41,18 +41,18 @@ def encoder(vocabulary: bytes, pattern: str = PATTERN):
 
 
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """docs(text, ...) with n_tokens, the encoded length of the whole text; null text has 0. Text is never cut, special tokens are ordinary text."""
+    """docs(text, ...) with n_tokens, the encoded length of the whole text; null text has 0. Text is never cut, special tokens are ordinary text. A column named n_tokens, in whatever case, is replaced."""
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file, about a megabyte
-    names = [c for c in docs.columns if c != "n_tokens"]
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("text").alias("t"))
+    rows = packed(docs, others(docs, "n_tokens"))
+    place = next(i for i, f in enumerate(rows.schema["row"].dataType.fields) if f.name.lower() == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(enc.encode_ordinary(x.as_py() or "")) for x in b.column(1)], pa.int64())], ["row", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(enc.encode_ordinary(x.as_py() or "")) for x in b.column(0).field(place)], pa.int64())], ["row", "n_tokens"])
 
-    return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, n_tokens bigint").select("row.*", "n_tokens")
+    return rows.mapInArrow(run, with_types(rows, "n_tokens bigint")).select("row.*", "n_tokens")
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:

@@ -90,6 +90,41 @@ def test_exact_dedup(spark):
     kept = [r for r in got if r.kept]
     assert len(kept) == len(groups) and all(r.doc_id == r.keep_id for r in kept)
     assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
+    ends = spark.createDataFrame([(-(2**63), "same"), (5, "same "), (None, "same "), (2**63 - 1, "x"), (-(2**63), "x")], "doc_id bigint, text string")
+    assert sorted(map(str, ((r.doc_id, r.keep_id, r.kept) for r in exact_dedup.exact_dedup(ends, carry=["doc_id"]).collect()))) == sorted(map(str, [(-(2**63), 5, False), (5, 5, True), (None, 5, False), (2**63 - 1, -(2**63), False), (-(2**63), -(2**63), True)]))
+
+
+def test_hot_groups_join_by_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "MOST_HOT", 3)
+    rows = spark.createDataFrame([(k, i) for k, n in ((1, 50), (2, 20), (3, 1), (4, 1), (None, 2)) for i in range(n)], "k int, i int")
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"))
+    got = common.joined_by_group(rows, groups, "k", "n", rows.count()).collect()
+    assert Counter((r.k, r.n) for r in got) == {(1, 50): 50, (2, 20): 20, (3, 1): 1, (4, 1): 1}
+
+
+CLASHES = ["toxic", "P_Toxic", "severity", "LEAKS", "kept", "Keep_Id", "group_size", "fp", "_rid", "rid", "row", "size", "Words", "pass", "shard", "place", "draws", "n_tokens", "key", "id", "chars", "maybe", "h", "src", "a b`c", "find"]
+
+
+def test_columns_of_the_caller_are_kept_whatever_their_names(spark):
+    body = ["one two three four five six", "one two  three four five six", "Seven eight nine ten eleven twelve", "vile grubber " * 9, None, ""]
+    docs = table(spark, body).drop("n_chars").withColumns({c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col("text"), F.lit("-"))) for c in CLASHES})
+    docs = docs.unionByName(docs.where("doc_id = 0")).unionByName(docs.where("doc_id = 2").withColumn("doc_id", F.lit(None).cast("bigint")))
+    labels = spark.createDataFrame([(i, 1, int(i == 3)) for i in range(6)], "doc_id bigint, quality int, toxic int")
+    items = spark.createDataFrame([(1, "seven EIGHT nine ten eleven twelve")], "item_id bigint, text string")
+    had = Counter(map(str, docs.collect()))
+    for out, n in ((toxicity.drop_toxic(docs, labels), None), (decontam.drop_contaminated(docs, items), 6), (exact_dedup.drop_duplicates(docs), 4), (simhash.drop_near_duplicates(docs), 4)):
+        rows = out.collect()
+        assert out.columns == docs.columns and not Counter(map(str, rows)) - had and len(rows) == (n or len(rows))
+    for out, new in (
+        (toxicity.with_severity(docs, toxicity.train(docs, labels)), ["severity", "p_toxic", "toxic"]),
+        (decontam.with_leaks(docs, items), ["leaks"]),
+        (exact_dedup.exact_dedup(docs), ["keep_id", "group_size", "kept", "text_sha256"]),
+        (mixing.mix(docs), ["size", "source_size", "target", "taken", "draws"]),
+        (token_counts.token_lengths(docs), ["n_tokens"]),
+    ):
+        assert out.columns == [*common.others(docs, *new), *new] and out.count() == docs.count()
+        old = [common.quoted(c) for c in common.others(docs, *new)]
+        assert sorted(map(str, out.select(old).collect())) == sorted(map(str, docs.select(old).collect()))
 
 
 def test_bloom_filter_has_no_false_negatives(spark):
@@ -271,14 +306,20 @@ def test_decontamination(spark):
             for _ in range(rng.randrange(3)):
                 item[rng.randrange(len(item))] = "zz"
         docs.append(" ".join(noise[: len(noise) // 2] + item + noise[len(noise) // 2 :]).upper() if i % 2 else " ".join(item))
-    docs += [None, "", "Short  ITEM", "short item here"]
+    docs += [None, "", "Short  ITEM", "short item here", "long " * 30_000 + "a SHORT\titem at the end", "short of one item", "one two three four five"]
+    items += ["two", "two three", "one two three four", "four five one"]
     d, b = table(spark, docs).withColumn("leaks", F.lit(1)), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
 
-    def shingles(t):
+    def shingles(t, k):
         w = common.words(t)
-        return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
-
-    want = {(i, j, len(shingles(t) & shingles(q)), len(shingles(q))) for i, t in enumerate(docs) for j, q in enumerate(items) if shingles(q) and 10 * len(shingles(t) & shingles(q)) >= 8 * len(shingles(q))}
+        return {b" ".join(w[i : i + k]) for i in range(len(w) - k + 1)}
+
+    want = set()
+    for j, q in enumerate(items):
+        k = min(5, len(common.words(q)))
+        own = shingles(q, k) if k else set()
+        want |= {(i, j, len(shingles(t, k) & own), len(own)) for i, t in enumerate(docs) if own and 10 * len(shingles(t, k) & own) >= 8 * len(own)}
+    assert {(len(docs) - 3, 25), (len(docs) - 1, 29), (len(docs) - 1, 30), (len(docs) - 1, 31)} <= {w[:2] for w in want}
     assert len(want) > 12
     assert {tuple(r) for r in decontam.contaminated(d, b).collect()} == want
     clean = decontam.drop_contaminated(d, b)
@@ -290,8 +331,9 @@ def test_decontamination_in_blocks_of_items(spark, monkeypatch):
     items = texts(8, 20, 40)
     d, b = table(spark, items), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
     want = sorted(map(tuple, decontam.contaminated(d, b).collect()))
-    monkeypatch.setattr(decontam, "BLOCK_SHINGLES", 100)
+    monkeypatch.setattr(decontam, "BLOCK_WORDS", 100)
     assert sorted(map(tuple, decontam.contaminated(d, b).collect())) == want and len(want) >= 20
+    assert decontam.drop_contaminated(d, b).count() == 0
 
 
 def test_sketches_lose_nothing():
@@ -331,22 +373,52 @@ def test_toxicity_on_held_out_documents(spark):
     assert toxicity.drop_toxic(docs, labels.limit(0)).count() == 602 and toxicity.drop_toxic(docs.limit(0), labels).count() == 0
 
 
+def ordinal_rows(seed, n, width):
+    rng = np.random.default_rng(seed)
+    grades = rng.integers(0, 3, n)
+    x = rng.random((n, width)) < 0.1 + 0.4 * grades[:, None]
+    return x, toxicity.Rows(np.nonzero(x)[1], np.concatenate([[0], np.cumsum(x.sum(1))]), grades)
+
+
 def test_ordinal_thresholds_are_ordered():
-    rng = np.random.default_rng(0)
-    grades = rng.integers(0, 3, 300)
-    x = (rng.random((300, 4)) < 0.1 + 0.4 * grades[:, None]).astype(np.float32)
-    model = toxicity.fit(x, grades, [1, 2, 3, 4])
+    _, rows = ordinal_rows(0, 300, 4)
+    model = toxicity.fit(rows, [1, 2, 3, 4])
     assert model.theta[0] < model.theta[1] and all(w > 0 for w in model.weights.values())
 
 
+def test_ordinal_gradient_matches_differences():
+    x, rows = ordinal_rows(1, 40, 5)
+    par = np.random.default_rng(2).normal(0, 1, 7)
+    assert np.allclose(rows.times(par[:5]), x @ par[:5])
+    _, g = toxicity.loss_and_gradient(par, rows, 0.01)
+    for i in range(len(par)):
+        e = np.zeros(len(par))
+        e[i] = 1e-5
+        d = (toxicity.loss_and_gradient(par + e, rows, 0.01)[0] - toxicity.loss_and_gradient(par - e, rows, 0.01)[0]) / 2e-5
+        assert abs(d - g[i]) < 1e-6, i
+    theta = toxicity.thresholds(par[5:])  # the loss is that of the model as it is defined
+    up = 1 / (1 + np.exp(-(theta[None] - (x @ par[:5])[:, None])))
+    p = np.column_stack([up[:, 0], up[:, 1] - up[:, 0], 1 - up[:, 1]])[np.arange(40), rows.grades]
+    assert abs(toxicity.loss_and_gradient(par, rows, 0)[0] + np.log(p).mean()) < 1e-9
+
+
+def test_training_does_not_depend_on_layout_or_repeated_rows(spark):
+    rows = toxic_corpus(12, 200)
+    docs = table(spark, [r[0] for r in rows])
+    docs = docs.unionByName(docs.where("doc_id < 20").withColumn("text", F.lit("other text " * 50_000))).unionByName(docs.where("doc_id > 190"))
+    labels = spark.createDataFrame([(i, q, t) for i, (_, t, q) in enumerate(rows)], "doc_id bigint, quality int, toxic int")
+    a, b = toxicity.train(docs, labels), toxicity.train(docs.repartition(5), labels.repartition(3))
+    assert a.weights == b.weights and a.theta.tolist() == b.theta.tolist() and a.weights
+
+
 # ---- 1 ----
 
 
 def test_mixing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK_WORDS", 40)
     rng = random.Random(2)
-    sources = [rng.choice(["b", "a", "ä", "Z", None, "b", "b", "b"]) for _ in range(300)] + ["tiny", "empty", "empty"]
-    body = texts(2, 300, 60) + ["one two", None, " "]
+    sources = [rng.choice(["b", "a", "ä", "Z", None, "b", "b", "b"]) for _ in range(300)] + ["tiny", "empty", "empty", "b"]
+    body = texts(2, 300, 60) + ["one two", None, " ", "very long " * 20_000]
     docs = table(spark, body, sources).withColumn("size", F.lit("clash"))
     docs = docs.unionByName(docs.where("doc_id < 5"))
     got = mixing.mix(docs).collect()
@@ -371,6 +443,22 @@ def test_mixing(spark, monkeypatch):
     assert all(abs(want[s] - target[s]) < 1e-6 for s in order)
     assert all(abs(taken[s] - target[s]) <= 6 for s in order), (taken, target)
     assert want["tiny"] == 6 and taken["tiny"] == 6 and want["empty"] == 0
+    # the rows of a shard are a disjoint run of each source's permuted blocks, passes one after the other
+    h = F.xxhash64(F.lit(mixing.SEED), "doc_id", common.text_of())
+    number = {s: i + 1 for i, s in enumerate(order)}
+    blocks = {s: max(1, -(-sizes[s] // 40)) for s in order}
+    placed = [(r.source, r.h % blocks[r.source], r["size"], [(d["pass"], d.shard) for d in r.draws]) for r in mixing.mix(docs).withColumn("h", h).collect()]
+    ranks = spark.createDataFrame([(number[s], b, s, b) for s in order for b in range(blocks[s])], "sid int, block bigint, source string, b bigint")
+    rank = {(r.source, r.b): r.rank for r in ranks.withColumn("rank", F.xxhash64(F.lit(mixing.SEED), "sid", "block")).collect()}
+    units, shards = {}, set()
+    for s, b, n, draws in placed:
+        for p, shard in draws:
+            units.setdefault((s, p, rank[s, b]), set()).add(shard)
+            shards.add(shard)
+    assert all(len(x) == 1 for x in units.values()) and len(shards) > 4  # a block's pass goes to one shard
+    for s in order:
+        run = [min(units[u]) for u in sorted(u for u in units if u[0] == s)] if s is not None else [min(units[u]) for u in sorted((u for u in units if u[0] is None), key=lambda u: u[1:])]
+        assert run == sorted(run)
     assert mixing.mix(docs.limit(0)).count() == 0
 
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from labelloom.llm import common, simhash, toxicity
@@ -97,6 +98,19 @@ def test_stages(spark, corpus):
     assert sorted(map(str, again)) == sorted(map(str, rows))
 
 
+def test_stages_keep_columns_with_clashing_names(spark, corpus):
+    d = corpus[0]
+    docs = spark.read.parquet(f"{d}/documents.parquet").where("doc_id % 3 = 0").withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in ("Toxic", "Kept", "fp", "_rid", "leaks", "size", "Words", "row")})
+    for name, stage in corpus_pipeline.STAGES:
+        out = common.saved(stage(spark, docs, d))
+        if name != "mixing":
+            assert out.columns == docs.columns
+            docs = out
+        for r in out.collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in ("Toxic", "Kept", "fp", "_rid", "leaks", "row"))
+        assert len({c.lower() for c in out.columns}) == len(out.columns)
+
+
 def test_empty_tables(spark, corpus, tmp_path):
     d = corpus[0]
     for t in ("documents", "labels", "benchmark"):
