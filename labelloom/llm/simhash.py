@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, partitions, saved, shingle_hashes, words
+from .common import components, joined_by_group, packed, partitions, saved, shingle_hashes, with_types, words
 
 DIFFERING = 3
 #: Groups above this size are dealt out in pairs of blocks.
@@ -58,18 +58,19 @@ def fingerprint(text: str | None, k: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hs)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, k: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """Columns keep of docs (doc_id by default) and fp, the fingerprint of text as a signed long."""
-    keep = ["doc_id"] if keep is None else keep
-    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("text").alias("t"))
+def fingerprints(docs: DataFrame, columns: list[str], k: int = 3) -> DataFrame:
+    """(row, fp): the columns, text among them or doc_id alone, as a struct, and the fingerprint of text as a signed long."""
+    with_text = any(c.lower() == "text" for c in columns)
+    rows = packed(docs, columns) if with_text else packed(docs, columns, text=F.col("text"))
+    place = next((i for i, f in enumerate(rows.schema["row"].dataType.fields) if f.name.lower() == "text"), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(x.as_py(), k) for x in b.column(1)], np.uint64).view(np.int64)
+            texts = b.column(1) if place is None else b.column(0).field(place)
+            fp = np.array([fingerprint(x.as_py(), k) for x in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["row", "fp"])
 
-    kind = source.schema["row"].dataType.simpleString()
-    return source.mapInArrow(run, f"row {kind}, fp bigint").select("row.*", "fp")
+    return rows.mapInArrow(run, with_types(rows.select("row"), "fp bigint"))
 
 
 def _chain_ok(x: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -401,20 +402,27 @@ def near_duplicates(docs: DataFrame, k: int = 3) -> DataFrame:
 
     Null and empty texts have fingerprint zero and link like any other. Rows with the same
     doc_id each count. component_id is the smallest non-null doc_id of the component, null
-    only if all are null. An empty table gives an empty table.
+    only if all are null. Other columns are not read, whatever their names. An empty table
+    gives an empty table.
     """
-    rows = saved(fingerprints(docs, k))
-    return rows.join(near_components(rows), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    rows = saved(fingerprints(docs, ["doc_id"], k).select("row.doc_id", "fp"))
+    of = saved(near_components(rows))
+    sizes = rows.groupBy("fp").agg(F.count("*").alias("n"))
+    of = saved(of.select("fp", "component_id").join(sizes, "fp"))
+    return joined_by_group(rows, of, "fp", "n", rows.count()).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 3, similar: bool = True) -> DataFrame:
     """docs with one row of each component: the smallest doc_id (null last), of rows equal in that any one.
 
     Fingerprints link at DIFFERING or fewer bits; with similar, texts of Jaccard similarity SHARE or more link as well.
+    All columns are kept as they are, whatever their names. An empty table gives an empty table.
     """
-    columns = docs.columns
-    rows = saved(fingerprints(docs.select(*[F.col(f"`{c}`") for c in columns]), k, columns).withColumn("_rid", F.monotonically_increasing_id()))
-    edges = similar_links(rows.select(F.col("_rid").alias("rid"), "fp", "text"), saved(links(rows.select("fp").distinct()))) if similar else None
-    of = near_components(rows.select("doc_id", "fp"), edges)
-    best = rows.select("fp", "doc_id", "_rid").join(of, "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_rid")).alias("best"))
-    return rows.join(best.select(F.col("best._rid").alias("_rid")), "_rid", "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    rows = saved(fingerprints(docs, docs.columns, k).withColumn("rid", F.monotonically_increasing_id()))
+    narrow = rows.select("rid", "fp", F.col("row.doc_id").alias("doc_id"))
+    edges = similar_links(rows.select("rid", "fp", F.col("row.text").alias("text")), saved(links(narrow.select("fp").distinct()))) if similar else None
+    of = near_components(narrow, edges)
+    # the first of each fingerprint, then of each component
+    first = narrow.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
+    best = saved(first.join(of, "fp").groupBy("root").agg(F.min("first").alias("best")).select("best.rid"))
+    return rows.join(_ids(best), "rid", "left_semi").select("row.*")
