@@ -22,13 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, saved, text_of
+from .common import WORD, others, packed, saved, text_of
 
 WEIGHTS = (5, 2, 1)
 #: No document is taken more often than this.
 MOST = 3
 BLOCK_WORDS, MAX_BLOCKS = 1 << 16, 1 << 14
-SHARDS_LOG2 = 4
+#: Blocks of a shard, about; there are a power of two of shards.
+SHARD_BLOCKS = 16
 #: Tables with a row or a few for each source or block are broadcast up to so many sources.
 SMALL_SOURCES = 100_000
 SEED = 17
@@ -62,7 +63,7 @@ def _units(plan: DataFrame) -> DataFrame:
     return plan.where("quota > 0").select("sid", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("quota") - 1)).alias("unit"))
 
 
-def splitting_tree(units: DataFrame, levels: int = SHARDS_LOG2, seed: int = SEED) -> DataFrame:
+def splitting_tree(units: DataFrame, levels: int, seed: int = SEED) -> DataFrame:
     """Shard quotas (sid, shard, n, first): halves of the units at each node; first is where the shard's run of the source begins."""
     tree = units.withColumn("shard", F.lit(0))
     for level in range(levels):
@@ -77,7 +78,7 @@ def splitting_tree(units: DataFrame, levels: int = SHARDS_LOG2, seed: int = SEED
     return quotas.withColumn("first", F.sum("n").over(run) - F.col("n"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, shards_log2: int = SHARDS_LOG2) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, shards_log2: int | None = None) -> DataFrame:
     """docs(doc_id, text, source, ...) with size, source_size, target, taken and draws.
 
     size: words of the whole text, null text 0. draws: array of (shard, pass, words, place),
@@ -86,13 +87,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     document of a source at most is taken in part, its first words (rows of that document
     that are repeated share what is left evenly, and lose less than a word each). Null is a
     source of its own. Documents without words and sources without words have target or
-    taken 0. Reruns give the same rows, and columns of these names are replaced.
+    taken 0. Repeated rows and null doc_ids each count. There are 2 ** shards_log2 shards, or
+    one for each SHARD_BLOCKS blocks or so. Reruns give the same rows, and columns of the new
+    names, in whatever case, are replaced. An empty table gives an empty table.
 
     Texts are read twice and never shuffled: blocks and cuts come from a narrow table, and
     the blocks' draws (at most MAX_BLOCKS and one a source) meet the documents in a broadcast.
     """
-    new = ("size", "source_size", "target", "taken", "draws")
-    names = [c for c in docs.columns if c not in new]
+    names = others(docs, "size", "source_size", "target", "taken", "draws")
     size, h = word_count(), F.xxhash64(F.lit(seed), "doc_id", text_of())
     narrow = saved(docs.select(F.col("source").alias("src"), size.alias("size"), h.alias("h")))
     sums = saved(narrow.groupBy(F.col("src").alias("source")).agg(F.sum("size").alias("source_size")))
@@ -103,7 +105,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     plan = plan.withColumn("block_words", F.greatest(F.lit(float(BLOCK_WORDS)), F.sum("source_size").over(everything) / F.lit(MAX_BLOCKS)))
     plan = plan.withColumn("blocks", F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("source_size") / F.col("block_words"))))
     plan = saved(plan.withColumn("goal", F.round("target").cast("bigint")).drop("block_words"))
-    small = F.broadcast if plan.count() <= SMALL_SOURCES else (lambda x: x)
+    sources, blocks = plan.agg(F.count("*"), F.sum("blocks")).first()
+    small = F.broadcast if sources <= SMALL_SOURCES else (lambda x: x)
+    if shards_log2 is None:
+        shards_log2 = max(1, ((blocks or 0) // SHARD_BLOCKS).bit_length())
 
     def placed(rows: DataFrame) -> DataFrame:
         return rows.join(small(plan.select("source", "sid", "blocks", "source_size", "target")), F.col("src").eqNullSafe(F.col("source"))).withColumn("block", F.pmod(F.col("h"), F.col("blocks")))
@@ -132,7 +137,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, s
     draws = drawn.select("sid", "block", F.struct("pass", shard.alias("shard"), (F.col("limit") == F.col("block_size")).alias("whole")).alias("d")).groupBy("sid", "block").agg(F.array_sort(F.collect_list("d")).alias("ds"))
     draws = saved(draws.join(edge, "sid", "left"))
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("src"), size.alias("size"), h.alias("h"))
+    rows = packed(docs, names, src=F.col("source"), size=size, h=h)
     taken = placed(rows).join(small(draws), ["sid", "block"], "left")
     words = lambda d: F.when(d["whole"] | (F.col("h") < F.col("edge")), F.col("size")).when(F.col("h") == F.col("edge"), F.col("edge_words")).otherwise(F.lit(0).cast("bigint"))
     share = F.transform(F.coalesce("ds", F.array()), lambda d: F.struct(d["shard"].alias("shard"), d["pass"].alias("pass"), words(d).alias("words"), F.xxhash64(F.lit(seed), d["shard"], d["pass"], F.col("h")).alias("place")))

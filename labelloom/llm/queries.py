@@ -21,7 +21,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, d: str) -> DataFrame:
-    return mix(_documents(spark, d).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(_documents(spark, d).select("doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken", "draws")
 
 
 def op2_token_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -78,8 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+')"
-_SHINGLES = """CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
-  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END"""
+_SHINGLES = "list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))"
 
 _TURN = "concat('<|', role, '|>\n', {}, '\n<|end|>\n')"
 
@@ -117,8 +116,8 @@ FROM t GROUP BY conv_id""",
     "op5_secrets": _secrets_sql(),
     "op6_decontamination": f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
-b AS (SELECT item_id, row_number() OVER () AS r, {_WORDS} AS w FROM benchmark),
-ds AS (SELECT doc_id, r, unnest({_SHINGLES}) AS s FROM d),
+b AS (SELECT item_id, row_number() OVER () AS r, w, least(5, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+ds AS (SELECT doc_id, r, unnest({_SHINGLES}) AS s FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) >= k),
 bs AS (SELECT item_id, r, s, count(*) OVER (PARTITION BY r) AS n_item FROM (SELECT item_id, r, unnest({_SHINGLES}) AS s FROM b))
 SELECT doc_id, item_id, CAST(count(*) AS BIGINT) AS n_shared, CAST(n_item AS BIGINT) AS n_item
 FROM ds JOIN bs USING (s) GROUP BY ds.r, doc_id, bs.r, item_id, n_item HAVING 10 * count(*) >= 8 * n_item""",
