@@ -3,9 +3,13 @@
 Rules find the base spans exactly. The tagger adds spans that they miss (phone numbers
 without a plus sign, numbers that fail a check digit, obfuscated addresses). It is trained
 in numpy on the driver, on windows of at most CARRIERS documents with their rule spans and
-with generated, labelled spans put in. In tasks, text around every digit and "@" (all kinds
-need one) is cut into overlapping windows; their tag scores are averaged where they
-overlap, and one Viterbi pass over each whole stretch reconciles them.
+with generated, labelled spans put in. In tasks, each whole text is cut into overlapping
+windows, all of which the network reads, many at a time; their tag scores are averaged
+where they overlap, and the best tags of the whole text reconcile them.
+
+The best path over a text need not be searched step by step: where "outside" leads the
+other tags by more than transitions can win back, every best path is outside, and the text
+falls into parts that are decoded on their own, with the same result.
 """
 
 from __future__ import annotations
@@ -27,9 +31,12 @@ KINDS = ("email", "ip", "card", "phone")
 #: Tags: 0 outside, then beginning and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
 #: The most documents whose text the tagger is trained on, and the windows made of them.
-CARRIERS, WINDOWS = 200, 900
-WIDTH, STRIDE, MARGIN = 96, 48, 40
-HIDDEN, EPOCHS, BATCH = 20, 9, 64
+CARRIERS, WINDOWS = 200, 1000
+#: Characters of a window in training and in use, and how far the latter are apart.
+WIDTH, WINDOW, STRIDE = 96, 256, 236
+HIDDEN, EPOCHS, BATCH = 12, 16, 32
+#: Windows that go through the network together, and characters of text that are tagged together.
+TOGETHER, CHARACTERS = 512, 1 << 18
 #: Codes: ASCII as it is, any other character, and padding.
 OTHER, PAD = 128, 129
 SEED = 8
@@ -171,39 +178,95 @@ class Tagger:
         seen = (x.reshape(-1, 1) == np.arange(PAD + 1)).astype(np.float32)
         return seen.T @ every.reshape(-1, 4 * k), du
 
-    def viterbi(self, e: np.ndarray) -> np.ndarray:
-        """The best tags for scores e (length, TAGS)."""
+    def viterbi(self, e: np.ndarray, after: bool = False, before: bool = False) -> np.ndarray:
+        """The best tags for scores e (length, TAGS); after, before: outside stands before the first, after the last."""
         a = self.p["a"]
-        best = e[0] + self.p["s"]
+        best = e[0] + (a[0] if after else self.p["s"])
         back = np.empty((len(e), TAGS), np.int8)
         for t in range(1, len(e)):
             z = best[:, None] + a
             back[t] = z.argmax(0)
             best = z.max(0) + e[t]
         y = np.empty(len(e), np.int8)
-        y[-1] = best.argmax()
+        y[-1] = (best + a[:, 0] if before else best).argmax()
         for t in range(len(e) - 1, 0, -1):
             y[t - 1] = back[t, y[t]]
         return y
 
-    def tag(self, stretches: list[np.ndarray]) -> list[np.ndarray]:
-        """Tags of stretches of codes: scores of overlapping windows are averaged, then each stretch is decoded as one."""
-        out = []
-        where = [(k, at) for k, c in enumerate(stretches) for at in range(0, max(1, len(c) - WIDTH + STRIDE), STRIDE)]
-        sums = [np.zeros((len(c), TAGS), np.float32) for c in stretches]
-        times = [np.zeros(len(c), np.float32) for c in stretches]
-        for low in range(0, len(where), 256):
-            part = where[low : low + 256]
-            x = np.full((len(part), WIDTH), PAD, np.int16)
+    def window_scores(self, x: np.ndarray) -> np.ndarray:
+        """scores() of windows (n, width) as (n, TAGS, width), without keeping hidden states. Gates are blocks of rows, so that each is contiguous."""
+        k, n = HIDDEN, len(x)
+        x = np.ascontiguousarray(x.T, np.intp)
+        out = np.empty((len(x), TAGS, n), np.float32)
+        out[:] = self.p["b"][:, None]
+        given = np.empty((n, 4 * k), np.float32)
+        z, new, tmp = np.empty((4 * k, n), np.float32), np.empty((4 * k, n), np.float32), np.empty((k, n), np.float32)
+        for d, part in (("f", self.p["w"][:k]), ("b", self.p["w"][k:])):
+            g, u, part = self.p["g" + d].copy(), np.array(self.p["u" + d].T), np.array(part.T)
+            # sigmoid(z) is (1 + tanh(z / 2)) / 2, so that one tanh serves all gates
+            g[:, : 3 * k] /= 2
+            u[: 3 * k] /= 2
+            h, c = np.zeros((k, n), np.float32), np.zeros((k, n), np.float32)
+            for t in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
+                np.take(g, x[t], axis=0, out=given, mode="clip")
+                z[:] = given.T
+                np.matmul(u, h, out=new)
+                z += new
+                np.tanh(z, out=z)
+                gates = z[: 3 * k]
+                gates += 1
+                gates *= 0.5
+                c *= z[k : 2 * k]
+                np.multiply(z[:k], z[3 * k :], out=tmp)
+                c += tmp
+                np.tanh(c, out=tmp)
+                np.multiply(z[2 * k : 3 * k], tmp, out=h)
+                out[t] += part @ h
+        return np.ascontiguousarray(out.transpose(2, 1, 0))
+
+    def may_hold(self, e: np.ndarray) -> np.ndarray:
+        """For scores e (length, TAGS) of a text: where its best tags may be anything but outside.
+
+        A stretch of other tags beats outside only if what its transitions win, entering and
+        leaving once and going on at each place but one, is worth what its scores lose. A
+        place may be in such a stretch if the best stretch around it could win, by sums of
+        gains up to it and from it on.
+        """
+        a, s = self.p["a"].astype(np.float64), self.p["s"].astype(np.float64)
+        on = (a[1:, 1:] - a[0, 0]).max()
+        once = max((a[0, 1:] - a[0, 0]).max(), (s[1:] - s[0]).max()) + max((a[1:, 0] - a[0, 0]).max(), 0.0) - on
+        gain = on - (e[:, 0] - e[:, 1:].max(1)).astype(np.float64)
+
+        def up_to(gain: np.ndarray) -> np.ndarray:
+            sums = np.cumsum(gain)
+            return sums - np.minimum.accumulate(np.concatenate([[0.0], sums[:-1]]))
+
+        return once + up_to(gain) + up_to(gain[::-1])[::-1] - gain >= -1e-6
+
+    def tag(self, texts: list[np.ndarray]) -> list[list[tuple[int, np.ndarray]]]:
+        """For texts as codes: (start, tags) of the parts that may hold anything but outside; the best tags of each whole text, with averaged scores of its overlapping windows."""
+        which = [(k, at) for k, c in enumerate(texts) for at in range(0, max(1, len(c) - WINDOW + STRIDE), STRIDE)]
+        sums = [np.zeros((TAGS, len(c)), np.float32) for c in texts]
+        for low in range(0, len(which), TOGETHER):
+            part = which[low : low + TOGETHER]
+            x = np.full((len(part), WINDOW), PAD, np.int16)
             for r, (k, at) in enumerate(part):
-                piece = stretches[k][at : at + WIDTH]
+                piece = texts[k][at : at + WINDOW]
                 x[r, : len(piece)] = piece
-            for (k, at), e in zip(part, self.scores(x)):
-                n = min(WIDTH, len(sums[k]) - at)
-                sums[k][at : at + n] += e[:n]
-                times[k][at : at + n] += 1
-        for s, n in zip(sums, times):
-            out.append(self.viterbi(s / n[:, None]))
+            e = self.window_scores(x)
+            for r, (k, at) in enumerate(part):
+                n = min(WINDOW, len(texts[k]) - at)
+                sums[k][:, at : at + n] += e[r, :, :n]
+        out = []
+        for k, e in enumerate(sums):
+            at = np.arange(len(texts[k]))
+            # windows that reach over a place: those that begin at or before it and end after it, of the ones there are
+            last = max(0, -(-(len(at) - WINDOW) // STRIDE)) * STRIDE
+            e /= (np.minimum(at, last) // STRIDE - np.maximum(0, (at - WINDOW) // STRIDE + 1) + 1).astype(np.float32)
+            e = e.T
+            open_ = np.flatnonzero(self.may_hold(e)) if len(e) else at
+            parts = np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1) if len(open_) else []
+            out.append([(int(p[0]), self.viterbi(e[p[0] : p[-1] + 1], p[0] > 0, p[-1] + 1 < len(e))) for p in parts])
         return out
 
 
@@ -222,7 +285,7 @@ def generated(rng: np.random.Generator) -> tuple[str, int]:
     pick = lambda *x: x[rng.integers(len(x))]
     kind = int(rng.integers(4))
     if kind == 0:
-        at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), ("[@]", "."), ("@", " dot "))
+        at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), ("[@]", "."), ("@", " dot "), (" [at] ", "."), (" at ", " dot "))
         return f"{word()}{pick('', '.', '_', '-')}{pick(word(), digits(2))}{at}{word()}{pick('', digits(1))}{dot}{pick('com', 'org', 'net', word())}", kind
     if kind == 1:
         return pick(".", ".", ".", " . ").join(str(x) for x in rng.integers(0, 256, 4)), kind
@@ -268,7 +331,7 @@ def fit(texts: list[str], windows: int = WINDOWS, epochs: int = EPOCHS, seed: in
             step += 1
             i = order[low : low + BATCH]
             _, grads = tagger.gradients(x[i], y[i])
-            rate = 0.02 * (1 - epoch / epochs) + 0.001
+            rate = 0.03 * (1 - epoch / epochs) + 0.001
             for k, g in grads.items():
                 g = np.clip(g, -1, 1).astype(np.float32)
                 m[k] = 0.9 * m[k] + 0.1 * g
@@ -286,34 +349,21 @@ def train(docs: DataFrame, carriers: int = CARRIERS) -> Tagger:
 #: Digits that an added span has to have, by kind.
 _DIGITS = {1: (4, 12), 2: (12, 19), 3: (9, 15)}
 _LETTER = re.compile("[^\\W\\d_]")
+_AT = re.compile(r"[^\s@]\s*(?:@|[\[(]\s*(?:at|@)\s*[\])]|\sat\s)\s*[^\s@]+\s*(?:\.|\sdot\s|[\[(]\s*dot\s*[\])])", re.IGNORECASE)
 
 
 def _plausible(span: str, k: int) -> bool:
-    """An address has an "@"; a number has no letters and as many digits as its kind, an IP address four groups of them."""
+    """Whether what the tagger marks is of its kind: an address has an "@" or "at" and then a dot, or the word; a number has no letters and as many digits as its kind, an IP address four groups of them."""
     if k == 0:
-        return "@" in span and len(span) > 5
+        return len(span) > 5 and _AT.search(span) is not None
     groups = [x for x in _NOT_DIGIT.split(span) if x]
     return not _LETTER.search(span) and _DIGITS[k][0] <= sum(map(len, groups)) <= _DIGITS[k][1] and (k != 1 or len(groups) == 4)
 
 
-def added_spans(text: str, tagger: Tagger, base: list[tuple[int, int, int]], cache: dict[str, list[tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
-    """Spans that the tagger finds clear of the base spans; each is plausible for its kind."""
-    if not _TRIGGER.search(text):
-        return []
-    c = codes(text)
-    hot = np.flatnonzero(((c >= 48) & (c <= 57)) | (c == 64))
-    cut = np.flatnonzero(np.diff(hot) > 2 * MARGIN)
-    out = []
-    for first, last in zip(np.concatenate([[0], cut + 1]), np.append(cut, len(hot) - 1)):
-        low, high = max(0, hot[first] - MARGIN), min(len(c), hot[last] + MARGIN + 1)
-        piece = text[low:high]
-        if piece not in cache:
-            if len(cache) > 20_000:
-                cache.clear()
-            y = tagger.tag([c[low:high]])[0]
-            cache[piece] = list(_decoded(piece, y))
-        out += [(int(low) + s, k, int(low) + e) for s, k, e in cache[piece]]
-    return [x for x in out if not any(x[0] < e and s < x[2] for s, _, e in base)] if len(base) < 50 else _clear(out, base)
+def added_spans(text: str, parts: list[tuple[int, np.ndarray]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans of tagged parts of a text that are clear of the base spans; each is plausible for its kind."""
+    out = [(at + s, k, at + e) for at, y in parts for s, k, e in _decoded(text[at : at + len(y)], y)]
+    return _clear(out, base) if base else out
 
 
 def _clear(spans: list[tuple[int, int, int]], base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -346,26 +396,40 @@ def _decoded(piece: str, y: np.ndarray) -> Iterator[tuple[int, int, int]]:
             i += 1
 
 
+def _together(texts: list[str]) -> Iterator[slice]:
+    """Slices of texts that have some CHARACTERS characters in all."""
+    low = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= CHARACTERS:
+            yield slice(low, i + 1)
+            low, size = i + 1, 0
+    if low < len(texts):
+        yield slice(low, len(texts))
+
+
 def find(docs: DataFrame, tagger: Tagger) -> DataFrame:
     """A row for each of docs(doc_id, text): doc_id, n_<kind> (base spans), base_sha256, spans (base and added).
 
-    Whole texts in a narrow pass; null text is empty; repeated rows each give a row. Spans
-    are kind:start:end in code points, by start, then kind as listed, comma-joined.
+    Whole texts in a narrow pass; null text is empty; null doc_ids stay null and repeated rows
+    each give a row. Spans are kind:start:end in code points, by start, then kind as listed,
+    comma-joined. Other columns are not read, whatever their names. An empty table gives an
+    empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     names = [f"n_{k}" for k in KINDS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, list[tuple[int, int, int]]] = {}
         line = lambda spans: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
         for b in batches:
-            counts, sums, lines = [], [], []
-            for x in b.column(1):
-                text = x.as_py()
-                base = base_spans(text)
-                counts.append([sum(s[1] == k for s in base) for k in range(len(KINDS))])
-                sums.append(hashlib.sha256(line(base).encode()).hexdigest())
-                lines.append(line(base + added_spans(text, shared.value, base, cache)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(len(KINDS))), pa.array(sums, pa.string()), pa.array(lines, pa.string())], ["doc_id", *names, "base_sha256", "spans"])
+            texts = b.column(1).to_pylist()
+            for part in _together(texts):
+                counts, sums, lines = [], [], []
+                for text, tagged in zip(texts[part], shared.value.tag([codes(t) for t in texts[part]])):
+                    base = base_spans(text)
+                    counts.append([sum(s[1] == k for s in base) for k in range(len(KINDS))])
+                    sums.append(hashlib.sha256(line(base).encode()).hexdigest())
+                    lines.append(line(base + added_spans(text, tagged, base)))
+                yield pa.RecordBatch.from_arrays([b.column(0)[part], *(pa.array([c[k] for c in counts], pa.int64()) for k in range(len(KINDS))), pa.array(sums, pa.string()), pa.array(lines, pa.string())], ["doc_id", *names, "base_sha256", "spans"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id bigint, {', '.join(n + ' bigint' for n in names)}, base_sha256 string, spans string")
