@@ -7,6 +7,10 @@ documents that contain it. Postings are intersected and united by the queries, a
 the candidates are verified with the regular expression itself. Rules of which no trigram
 is mandatory scan every text. DataFrame functions only; Python reads the patterns, which
 are few and fixed, never the data.
+
+Texts are never shuffled. Which documents are candidates comes to them as bitmaps of hashed
+ids, at most MAX_BITS a rule, which are broadcast at any size; where ids share a bit, a
+document that is no candidate is verified too, which finds nothing.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved, text_of
+from .common import saved, text_of
 
 
 def either_case(word: str) -> str:
@@ -55,6 +59,10 @@ RULES = BASE + ADDED
 
 #: Documents of one block of the index: the ids that share doc_id div BLOCK.
 BLOCK = 4096
+#: Bits of a rule's bitmap: BITS_PER_ID for each candidate, up to MAX_BITS (4 MB).
+BITS_PER_ID, MAX_BITS = 64, 1 << 25
+#: Bits of one piece of it, as Spark's bitmap functions build them.
+BITMAP = 32768
 #: A character class of up to so many characters is spelled out in the query.
 SPELLED = 6
 
@@ -114,6 +122,23 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return lists.select(F.inline(F.concat(*found))).groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _bit(bits: int) -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+
+
+def bitmaps(found: DataFrame, kinds: list[str], bits: int) -> DataFrame:
+    """found(doc_id, kinds): rows (piece, b_<kind>...), the bits of hashed ids of each rule's candidates in pieces of BITMAP bits; at most bits / BITMAP rows."""
+    at = found.select(_bit(bits).alias("bit"), "kinds")
+    of = [F.expr(f"bitmap_construct_agg(pmod(bit, {BITMAP})) FILTER (WHERE array_contains(kinds, '{k}'))").alias(f"b_{k}") for k in kinds]
+    return at.groupBy(F.expr(f"bit div {BITMAP}").alias("piece")).agg(*of)
+
+
+def _set(bitmap: str) -> Column:
+    """Whether column bit is set in the piece of a bitmap; null counts as not."""
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.expr(f"cast(pmod(bit, {BITMAP}) div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, F.expr("cast(pmod(bit, 8) as int)")) == 1, F.lit(False))
+
+
 def _starts(lengths: Column) -> Column:
     """Sums of all elements before each, in steps of 256 so that the work stays in proportion."""
     zero = F.lit(0).cast("bigint")
@@ -144,17 +169,22 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Whole texts, null text is empty. Repeated doc_ids are candidates together and verified
     each for itself; rows with a null doc_id cannot be indexed and are all verified. Spans
-    of different rules may overlap. An empty table gives an empty table.
+    of different rules may overlap. Other columns are not read, whatever their names. An
+    empty table gives an empty table.
     """
     docs = docs.select("doc_id", "text")
     indexed = saved(candidates(docs, rules))
+    bits = BITMAP
     rows = indexed.count()
-    small = F.broadcast if rows * 64 * len(rules) <= BROADCAST_BYTES else (lambda x: x)
-    at = docs.select("doc_id", text_of().alias("t")).join(small(indexed), "doc_id", "left")
+    while bits < min(MAX_BITS, BITS_PER_ID * rows):
+        bits *= 2
+    named = [r.kind for r in rules if all(trigram_query(r.pattern))]
+    marks = saved(bitmaps(indexed, named, bits))
+    at = docs.select("doc_id", text_of().alias("t"), _bit(bits).alias("bit")).withColumn("piece", F.expr(f"bit div {BITMAP}"))
+    at = at.join(F.broadcast(marks), "piece", "left").select("doc_id", "t", *[(F.col("doc_id").isNull() | _set(f"b_{k}")).alias(f"c_{k}") for k in named])
     for order, rule in enumerate(rules):
-        mine = F.array_contains("kinds", rule.kind) | F.col("doc_id").isNull() if all(trigram_query(rule.pattern)) else F.lit(True)
-        at = with_spans(at, rule, order, F.coalesce(mine, F.lit(False)))
-    return at.drop("t", "kinds")
+        at = with_spans(at, rule, order, F.col(f"c_{rule.kind}") if rule.kind in named else F.lit(True))
+    return at.select("doc_id", *[f"s_{r.kind}" for r in rules])
 
 
 def digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES) -> DataFrame:
