@@ -39,7 +39,7 @@ from .common import discard, partitions, remove_path, saved, scratch_dir, text_o
 LENGTH, GRAM = 400, 64
 #: Bytes of runs that are ordered at a time, and at most for an anchor in one task. Positions in them are packed into POSITION bits.
 SLICE, POSITION = 1 << 20, 20
-#: Starts that are cut into runs at a time; a run has no more.
+#: Starts that are cut into runs at a time.
 CHUNK = 1 << 19
 #: Bytes of the substrings that are put in order first, and doubled from there.
 FIRST = 5
@@ -95,7 +95,7 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def runs(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Of texts laid end to end: (text, first start, number of starts, anchor, whether the anchor occurs in it again) of each run of starts with one anchor.
 
-    With gram equal to length every start is a run.
+    No run is longer than length - gram + 1 starts; with gram equal to length every start is a run.
     """
     span = length - gram + 1
     for low in range(0, max(0, len(data) - length + 1), CHUNK):
@@ -105,16 +105,18 @@ def runs(data: np.ndarray, at: np.ndarray, length: int, gram: int) -> Iterator[t
         start = np.arange(low, low + len(anchor))
         text = np.searchsorted(at, start, side="right") - 1
         inside = start + length <= at[text + 1]
-        if span == 1:
-            cut = inside
-        else:
-            cut = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]) & inside
+        cut = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]) & inside
         first = np.flatnonzero(cut)
         if not len(first):
             continue
         # the starts of a text that are inside come before those that are not
         good = np.concatenate([[0], np.cumsum(inside)])
         n = good[np.append(first[1:], len(anchor))] - good[first]
+        # a periodic text is one long run: pieces of one length are equal but for where they begin in the period
+        pieces = -(-n // span)
+        which = np.repeat(np.arange(len(first)), pieces)
+        ahead = (np.arange(len(which)) - (np.cumsum(pieces) - pieces)[which]) * span
+        first, n = first[which] + ahead, np.minimum(span, n[which] - ahead)
         twice = np.zeros(len(first), bool)
         for k in range(0, len(first) if span > 1 else 0, 4096):
             f, m, v = first[k : k + 4096, None], n[k : k + 4096], anchor[first[k : k + 4096], None]
@@ -367,8 +369,11 @@ def _text(column: Column) -> Column:
 
 
 def grams(length: int, gram: int) -> list[int]:
-    """Lengths of the substrings that anchors are taken from, one level after the other."""
-    return sorted({gram, length - (length - gram) // 8, length})
+    """Lengths of the substrings that anchors are taken from, one level after the other: what a run of one level has too many starts for falls into some four of the next."""
+    out = [gram]
+    while out[-1] < length:
+        out.append(length - (length - out[-1]) // 4)
+    return out
 
 
 def _level(texts: DataFrame, found: DataFrame, length: int, later: bool, slice_bytes: int, last: bool) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
