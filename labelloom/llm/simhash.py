@@ -36,12 +36,14 @@ BLOCK = 8192
 SHARE, WIDE = (4, 5), 5
 #: Shingles that OFTEN or more texts of a sample of one in SAMPLE have are taken last; so many are known at most.
 SAMPLE, OFTEN, MOST_OFTEN = 16, 4, 1_000_000
+#: One in so many shingles links what it can before the others are looked at.
+FIRST_OF = 8
 #: Rows are sent on in batches of so many.
 GATHER = 1 << 17
 #: The sketch of a shingle set has at least so many bits, and over twice the set's size; a power of two.
 SKETCH = 256
 #: Ids are broadcast up to so many.
-SMALL_IDS = 2_000_000
+SMALL_IDS = 1_000_000
 #: Up to this group size pairs are compared by shifts over many groups at once.
 SMALL = 32
 
@@ -298,18 +300,23 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing(every: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, part, rid, n, pos, root), sorted by token, part and n: all pairs of a group (or only those that follow each other) in different components whose sizes, and shingles left from here on, allow SHARE.
+    """Rows (token, part, rid, n, pos, root, low, high), sorted by token, part and n: all pairs of a group (or only those that follow each other) in different components whose sizes, shingles left from here on, and small sketches allow SHARE.
 
-    Where a pair meets at the first shingle that it shares, nothing before counts, so no similar pair is lost.
+    Where a pair meets at the first shingle that it shares, nothing before counts; parities
+    differ in at most as many bits as the sets in shingles. So no similar pair is lost.
     """
     p, q = SHARE
 
     def pairs() -> Iterator[list[np.ndarray]]:
-        for (_, _, rid, n, pos, root), cut, size in _whole_groups(batches):
+        for (_, _, rid, n, pos, root, low, high), cut, size in _whole_groups(batches):
             n, left = n.astype(np.int64), (n - pos).astype(np.int64)
+            low, high = low.view(np.uint64), high.view(np.uint64)
 
             def allowed(i: np.ndarray, j: np.ndarray) -> list[np.ndarray]:
                 ok = (root[i] != root[j]) & (q * n[i] >= p * n[j]) & ((p + q) * np.minimum(left[i], left[j]) >= p * (n[i] + n[j]))  # noqa: B023
+                i, j = i[ok], j[ok]
+                apart = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])  # noqa: B023
+                ok = (p + q) * apart <= (q - p) * (n[i] + n[j])  # noqa: B023
                 a, b = rid[i][ok], rid[j][ok]  # noqa: B023
                 return [np.minimum(a, b), np.maximum(a, b)]
 
@@ -362,8 +369,10 @@ def similar_links(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """rows(rid, fp, text), rid distinct: links (a, b) of fingerprints that, with edges (those of links()), connect all texts of Jaccard similarity SHARE or more.
 
     Equal shingle sets link at once and one of each goes on. Similar sets share a shingle of
-    their prefixes. Of those that share one, neighbours are verified first; then every pair
-    that is still in different components is. Each link is verified on whole sets.
+    their prefixes. Of those that share one, neighbours are verified first, by one shingle in
+    FIRST_OF and then by all; then every pair that is still in different components is. So a
+    large group is one component before its pairs are looked at. Each link is verified on
+    whole sets.
     """
     n = partitions(rows.sparkSession)
     facts = saved(rows.select("rid", "fp", "text").mapInArrow(_facts, "rid bigint, fp bigint, n int, digest binary, sketch array<bigint>"))
@@ -376,14 +385,19 @@ def similar_links(rows: DataFrame, edges: DataFrame) -> DataFrame:
     keyed = docs.mapInArrow(partial(_prefixes, often), "token bigint, part bigint, rid bigint, n int, pos int")
     groups = saved(keyed.repartition(n, "token", "part").sortWithinPartitions("token", "part").mapInArrow(_repeated, keyed.schema))
 
-    def crossing(roots: DataFrame, every: bool) -> DataFrame:
-        of = saved(facts.select("rid", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("rid", F.coalesce("root", "fp").alias("root")))
-        rooted = groups.join(_ids(of), "rid").select("token", "part", "rid", "n", "pos", "root")
+    def folded(half: int) -> Column:
+        """Every second long of the sketch, folded into one: parities add up."""
+        return F.aggregate(F.filter("sketch", lambda _, i: i % 2 == half), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(x))
+
+    def crossing(roots: DataFrame, groups: DataFrame, every: bool) -> DataFrame:
+        of = saved(facts.select("rid", "fp", folded(0).alias("low"), folded(1).alias("high")).join(roots, F.col("fp") == F.col("node"), "left").select("rid", F.coalesce("root", "fp").alias("root"), "low", "high"))
+        rooted = groups.join(_ids(of), "rid").select("token", "part", "rid", "n", "pos", "root", "low", "high")
         pairs = rooted.repartition(n, "token", "part").sortWithinPartitions("token", "part", "n", "rid").mapInArrow(partial(_crossing, every), "a bigint, b bigint")
         return _verified(pairs, docs, facts)
 
-    for every in (False, True):
-        edges = saved(edges.unionByName(crossing(components(edges), every)))
+    some = groups.where(F.pmod("token", F.lit(FIRST_OF)) == 0)
+    for taken, every in ((some, False), (groups, False), (groups, True)):
+        edges = saved(edges.unionByName(crossing(components(edges), taken, every)))
     return edges
 
 
