@@ -51,7 +51,7 @@ def confusion(df: DataFrame) -> DataFrame:
     """(y_true, y_pred, n) over all pairs of labels that occur as true or predicted, zeros included."""
     c = cells(df)
     labels = c.select(F.col("y_true").alias("label")).union(c.select("y_pred")).distinct()
-    grid = labels.withColumnRenamed("label", "y_true").crossJoin(F.broadcast(labels.withColumnRenamed("label", "y_pred")))
+    grid = labels.withColumnRenamed("label", "y_true").crossJoin(small(labels.withColumnRenamed("label", "y_pred")))
     return grid.join(c, ["y_true", "y_pred"], "left").select("y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,12 +116,12 @@ def score(df: DataFrame, weights: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
         for b in batches:
-            some = np.flatnonzero(np.asarray(b.column(1).is_valid()))
-            out: list = [None] * b.num_rows
-            if len(some):
-                x = np.array([b.column(1)[int(i)].as_py() for i in some], np.float64)
-                for i, s in zip(some, x @ w[:, :-1].T + w[:, -1]):
-                    out[i] = s
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float64()))], ["row", "scores"])
+            f, dim = b.column(1), w.shape[1] - 1
+            # the values of the lists that are there, end to end, are one array
+            x = pc.list_flatten(f).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            flat = pa.array((x @ w[:, :-1].T + w[:, -1]).ravel())
+            there = np.asarray(f.is_valid())
+            ends = pa.array(np.concatenate([[0], np.cumsum(there)]) * len(w), pa.int32(), mask=np.append(~there, False))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, flat)], ["row", "scores"])
 
     return source.mapInArrow(run, f"row {source.schema['row'].dataType.simpleString()}, scores array<double>").select("row.*", "scores")

@@ -18,7 +18,7 @@ def display_name(df: DataFrame, names: DataFrame, label: str = "label") -> DataF
 def class_set_diff(df: DataFrame, expected: DataFrame, by: str) -> DataFrame:
     """(by, label, side) for each subset: labels of expected(label) that it lacks are missing, others that it has are extra. No rows: all agree."""
     found = df.select(by, "label").where("label is not null").distinct()
-    wanted = df.select(by).distinct().crossJoin(F.broadcast(expected.select("label").distinct()))
+    wanted = df.select(by).distinct().crossJoin(small(expected.select("label").distinct()))
     both = wanted.withColumn("w", F.lit(1)).join(found.withColumn("f", F.lit(1)), [by, "label"], "full_outer")
     return both.where("w is null or f is null").select(by, "label", F.when(F.col("w").isNull(), "extra").otherwise("missing").alias("side"))
 

@@ -576,6 +576,7 @@ def j8_score(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(""", f AS (SELECT run_id, min(ord) AS bad FROM v_stages WHERE exit_code <> 0 GROUP BY run_id)
-SELECT run_id, CAST(count(*) AS BIGINT) AS n_stages, CAST(max(exit_code) AS BIGINT) AS code, round(sum(duration), 6) AS seconds FROM v_stages LEFT JOIN f USING (run_id) WHERE bad IS NULL OR ord <= bad GROUP BY run_id""", "v_stages")
+SELECT run_id, CAST(count(*) AS BIGINT) AS n_stages, CAST(max(exit_code) AS BIGINT) AS code, round(sum(duration), 6) AS seconds, max(ord) = count(*) AS in_order,
+  arg_max(CASE ord WHEN 1 THEN 'fetch' WHEN 2 THEN 'split' WHEN 3 THEN 'resize' WHEN 4 THEN 'validate' WHEN 5 THEN 'train' ELSE 'evaluate' END, ord) AS last FROM v_stages LEFT JOIN f USING (run_id) WHERE bad IS NULL OR ord <= bad GROUP BY run_id""", "v_stages")
 def j9_run_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.run_ledger(v.v_stages(spark, d)).select("run_id", "n_stages", "code", *r6("seconds"))
+    return ledger.run_ledger(v.v_stages(spark, d)).select("run_id", "n_stages", "code", *r6("seconds"), "in_order", F.element_at("stages", -1)["stage"].alias("last"))

@@ -56,8 +56,10 @@ def v_epochs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def v_stages(spark: SparkSession, d: str) -> DataFrame:
-    """The first six events of each run as stages; the ledger leaves out what follows a failure."""
-    return _numbered(spark, d, "ord").where("ord <= 6").select("run_id", "ord", F.when(F.col("event_type") == "error", 1).otherwise(0).cast("bigint").alias("exit_code"), F.col("value").alias("duration"))
+    """Each six events of a user in turn as the stages of a run, the last run perhaps cut short; the ledger leaves out what follows a failure."""
+    at = F.col("n") - 1
+    run, ord_ = F.concat_ws("/", F.col("run_id").cast("string"), F.floor(at / 6).cast("string")), (at % 6 + 1).cast("bigint")
+    return _numbered(spark, d, "n").select(run.alias("run_id"), ord_.alias("ord"), F.when(F.col("event_type") == "error", 1).otherwise(0).cast("bigint").alias("exit_code"), F.col("value").alias("duration"))
 
 
 def v_pointers(spark: SparkSession, d: str) -> DataFrame:
@@ -80,8 +82,9 @@ SQL = {
     "v_sizes": """SELECT l_orderkey AS id, CAST(l_linenumber AS BIGINT) AS line, CAST(l_quantity AS BIGINT) * 3 AS h, CAST(p_size AS BIGINT) * 5 AS w
   FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "v_epochs": """SELECT user_id AS run_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS epoch, value / 500e0 AS val_f1 FROM events""",
-    "v_stages": """SELECT * FROM (SELECT user_id AS run_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS ord,
-  CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS BIGINT) AS exit_code, value AS duration FROM events) WHERE ord <= 6""",
+    "v_stages": """SELECT concat(run_id, '/', (n - 1) // 6) AS run_id, CAST((n - 1) % 6 + 1 AS BIGINT) AS ord, exit_code, duration
+  FROM (SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n,
+  CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS BIGINT) AS exit_code, value AS duration FROM events)""",
     "v_pointers": """SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'fetch' ELSE 'mapping' END AS kind,
   CASE WHEN o_custkey % 11 = 0 THEN 'noslash' ELSE concat('owner', CAST(o_custkey % 7 AS VARCHAR), '/', lower(o_orderpriority)) END AS dataset,
   o_orderkey AS rev, o_orderdate AS written_at FROM orders""",
