@@ -263,3 +263,40 @@ def test_softmax_head_learns(spark):
     assert n == 300 and abs(loss + np.log(p[np.arange(300), y]).sum()) < 1e-6
     assert np.allclose(g, (p - np.eye(3)[y]).T @ np.hstack([x, np.ones((300, 1))]))
     assert head.score(df.withColumn("features", F.lit(None).cast("array<double>")), w).where("scores is not null").count() == 0
+
+
+def test_summaries_are_appended_and_the_latest_is_read(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from labelloom.sources import ledger
+
+    path = f"{tmp_path}/history"
+    for when, f1 in (("2024-01-02", 0.5), ("2024-01-03", 0.7), ("2024-01-01", 0.9)):
+        s = spark.createDataFrame([(1, f1), (2, f1 / 2)], "run_id int, best_f1 double")
+        ledger.append_summary(s, path, "owner/slug", F.lit(when), F.concat(F.lit("ckpt-"), "run_id"), F.create_map(F.lit("a"), F.lit(0)))
+    ledger.append_summary(spark.createDataFrame([(1, 0.1)], "run_id int, best_f1 double"), path, "other/slug", F.lit("2020-01-01"))
+    history = spark.read.parquet(path)
+    assert history.count() == 7
+    got = {(r.dataset, r.run_id): r for r in ledger.latest_summary(history, "run_id").collect()}
+    assert {k: r.best_f1 for k, r in got.items()} == {("owner/slug", 1): 0.7, ("owner/slug", 2): 0.35, ("other/slug", 1): 0.1}
+    assert got["owner/slug", 1].checkpoint == "ckpt-1" and got["owner/slug", 1].class_to_idx == {"a": 0} and got["other/slug", 1].checkpoint is None
+
+
+def test_ledger_names_stages_and_sees_gaps(spark):
+    from labelloom.sources import ledger
+
+    rows = [("a", i, 0, 1.0) for i in range(1, 7)] + [("b", 1, 0, 1.0), ("b", 3, 0, 1.0)] + [("c", 1, 0, 1.0), ("c", 2, 4, 1.0), ("c", 3, 0, 1.0)] + [("d", i, 0, 1.0) for i in range(1, 8)]
+    got = {r.run_id: r for r in ledger.run_ledger(spark.createDataFrame(rows, "run_id string, ord bigint, exit_code bigint, duration double")).collect()}
+    assert {k: r.in_order for k, r in got.items()} == {"a": True, "b": False, "c": True, "d": False}
+    assert [x.stage for x in got["a"].stages] == list(ledger.STAGES) and got["c"].n_stages == 2 and got["c"].code == 4 and got["d"].stages[-1].stage is None
+
+
+def test_scores_of_null_features(spark):
+    import numpy as np
+
+    from labelloom.operators import head
+
+    df = spark.createDataFrame([(0, [1.0, 2.0]), (1, None), (2, [3.0, 4.0])], "key int, features array<double>")
+    got = {r.key: r.scores for r in head.score(df.coalesce(1), np.array([[1.0, 0.0, 0.5], [0.0, 1.0, 0.0], [1.0, 1.0, 1.0]])).collect()}
+    assert got == {0: [1.5, 2.0, 4.0], 1: None, 2: [3.5, 4.0, 8.0]}
+    assert head.score(df.where("key = 1"), np.ones((2, 3))).first().scores is None and head.score(df.limit(0), np.ones((2, 3))).count() == 0
