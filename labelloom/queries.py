@@ -285,7 +285,19 @@ def _images(spark: SparkSession, d: str) -> DataFrame:
     return images.from_pixels(v.v_pixels(spark, d), v.PIXEL_SIDE).drop("px")
 
 
-@query()
+def _resampled(side: int) -> str:
+    """SQL for digests of v_pixels at side x side: between the two nearest pixels each way, held at the borders."""
+    return f""", spots AS (SELECT i, least(greatest((i + 0.5e0) * ({v.PIXEL_SIDE}e0 / {side}) - 0.5e0, 0e0), {v.PIXEL_SIDE - 1}e0) AS p FROM range({side}) t(i)),
+w AS (SELECT i, CAST(floor(p) AS BIGINT) AS low, least(CAST(floor(p) AS BIGINT) + 1, {v.PIXEL_SIDE - 1}) AS high, p - floor(p) AS f FROM spots),
+x AS (SELECT key, y.i AS r, c.i AS n, floor((1 - c.f) * ((1 - y.f) * px[y.low * {v.PIXEL_SIDE} + c.low + 1] + y.f * px[y.high * {v.PIXEL_SIDE} + c.low + 1])
+  + c.f * ((1 - y.f) * px[y.low * {v.PIXEL_SIDE} + c.high + 1] + y.f * px[y.high * {v.PIXEL_SIDE} + c.high + 1]) + 0.5e0) AS value FROM v_pixels, w AS y, w AS c)
+"""
+
+
+DIGEST = "sha1(unhex(string_agg(repeat(printf('%02x', CAST(value AS BIGINT)), 3), '' ORDER BY r, n))) AS digest"
+
+
+@query(_resampled(12) + f"SELECT key, 12 AS height, 12 AS width, {DIGEST} FROM x WHERE value IS NOT NULL GROUP BY key", "v_pixels")
 def g2_letterbox(spark: SparkSession, d: str) -> DataFrame:
     return images.letterbox(_images(spark, d), 12).select("key", "height", "width", F.sha1("data").alias("digest"))
 
@@ -296,7 +308,8 @@ def g2_letterbox_tally(spark: SparkSession, d: str) -> DataFrame:
     return images.letterbox_tally(x, images.letterbox(x, 12), "label")
 
 
-@query()
+@query("""SELECT key, sha1(unhex(array_to_string(list_transform(px, lambda x: repeat(printf('%02x', CAST(floor((299 * x + 587 * x + 114 * x) / 1000e0 + 0.5e0) AS BIGINT)), 3)), ''))) AS digest
+FROM v_pixels""", "v_pixels")
 def g3_to_grayscale(spark: SparkSession, d: str) -> DataFrame:
     return images.to_grayscale(_images(spark, d)).select("key", F.sha1("data").alias("digest"))
 
@@ -333,12 +346,13 @@ def g9_prepare_train(spark: SparkSession, d: str) -> DataFrame:
     return images.tensor_stats(images.prepare_train(_images(spark, d)), ["key"])
 
 
-@query()
+@query(f"""SELECT key, CAST(3 * len(px) AS BIGINT) AS n, round(list_sum(flatten([{", ".join(f"list_transform(px, lambda x: CAST(CAST((x / 255e0 - {m}e0) / {s}e0 AS FLOAT) AS DOUBLE))" for m, s in zip(MEAN, STD))}])), 4) AS total
+FROM v_pixels""", "v_pixels")
 def g9_prepare_eval(spark: SparkSession, d: str) -> DataFrame:
     return images.tensor_stats(images.prepare_eval(_images(spark, d)), ["key"])
 
 
-@query()
+@query(_resampled(5) + f"SELECT key, {DIGEST} FROM x GROUP BY key", "v_pixels")
 def g10_stretch_resize(spark: SparkSession, d: str) -> DataFrame:
     return images.stretch_resize(_images(spark, d), 5).select("key", F.sha1("data").alias("digest"))
 
