@@ -180,18 +180,27 @@ class Tagger:
 
     def viterbi(self, e: np.ndarray, after: bool = False, before: bool = False) -> np.ndarray:
         """The best tags for scores e (length, TAGS); after, before: outside stands before the first, after the last."""
-        a = self.p["a"]
-        best = e[0] + (a[0] if after else self.p["s"])
-        back = np.empty((len(e), TAGS), np.int8)
-        for t in range(1, len(e)):
-            z = best[:, None] + a
-            back[t] = z.argmax(0)
-            best = z.max(0) + e[t]
-        y = np.empty(len(e), np.int8)
-        y[-1] = (best + a[:, 0] if before else best).argmax()
-        for t in range(len(e) - 1, 0, -1):
-            y[t - 1] = back[t, y[t]]
-        return y
+        return self.best_paths(e, np.array([0]), np.array([len(e)]), np.array([after]), np.array([before]))
+
+    def best_paths(self, e: np.ndarray, starts: np.ndarray, ends: np.ndarray, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The best tags of the parts starts:ends of scores e (length, TAGS), each on its own, and outside elsewhere; all parts take a step at once."""
+        a, out = self.p["a"], np.zeros(len(e), np.int8)
+        order = np.argsort(starts - ends, kind="stable")  # the longest first, so that the parts that go on are the first ones
+        starts, ends, after, before = starts[order], ends[order], after[order], before[order]
+        going = np.searchsorted(starts - ends, -np.arange(ends[0] - starts[0] if len(starts) else 0), side="left")
+        best = e[starts] + np.where(after[:, None], a[0], self.p["s"])
+        back = []
+        for t, m in enumerate(going[1:], 1):
+            z = best[:m, None] + a.T
+            back.append(z.argmax(2).astype(np.int8))
+            best[:m] = z.max(2) + e[starts[:m] + t]
+        y = (best + np.where(before[:, None], a[:, 0], 0)).argmax(1)
+        out[ends - 1] = y
+        for t in range(len(going) - 1, 0, -1):
+            m = going[t]
+            y[:m] = back[t - 1][np.arange(m), y[:m]]
+            out[starts[:m] + t - 1] = y[:m]
+        return out
 
     def window_scores(self, x: np.ndarray) -> np.ndarray:
         """scores() of windows (n, width) as (n, TAGS, width), without keeping hidden states. Gates are blocks of rows, so that each is contiguous."""
@@ -246,7 +255,8 @@ class Tagger:
     def tag(self, texts: list[np.ndarray]) -> list[list[tuple[int, np.ndarray]]]:
         """For texts as codes: (start, tags) of the parts that may hold anything but outside; the best tags of each whole text, with averaged scores of its overlapping windows."""
         which = [(k, at) for k, c in enumerate(texts) for at in range(0, max(1, len(c) - WINDOW + STRIDE), STRIDE)]
-        sums = [np.zeros((TAGS, len(c)), np.float32) for c in texts]
+        begins = np.cumsum([0, *map(len, texts)])
+        sums = np.zeros((TAGS, begins[-1]), np.float32)
         for low in range(0, len(which), TOGETHER):
             part = which[low : low + TOGETHER]
             x = np.full((len(part), WINDOW), PAD, np.int16)
@@ -256,17 +266,24 @@ class Tagger:
             e = self.window_scores(x)
             for r, (k, at) in enumerate(part):
                 n = min(WINDOW, len(texts[k]) - at)
-                sums[k][:, at : at + n] += e[r, :, :n]
-        out = []
-        for k, e in enumerate(sums):
-            at = np.arange(len(texts[k]))
-            # windows that reach over a place: those that begin at or before it and end after it, of the ones there are
-            last = max(0, -(-(len(at) - WINDOW) // STRIDE)) * STRIDE
-            e /= (np.minimum(at, last) // STRIDE - np.maximum(0, (at - WINDOW) // STRIDE + 1) + 1).astype(np.float32)
-            e = e.T
-            open_ = np.flatnonzero(self.may_hold(e)) if len(e) else at
-            parts = np.split(open_, np.flatnonzero(np.diff(open_) > 1) + 1) if len(open_) else []
-            out.append([(int(p[0]), self.viterbi(e[p[0] : p[-1] + 1], p[0] > 0, p[-1] + 1 < len(e))) for p in parts])
+                sums[:, begins[k] + at : begins[k] + at + n] += e[r, :, :n]
+        open_ = np.zeros(begins[-1] + 1, bool)  # whether a place may hold anything but outside; one more, which ends the last part
+        first = np.zeros(begins[-1] + 1, bool)
+        first[begins] = True
+        for k, text in enumerate(texts):
+            if at := len(text):
+                at, e = np.arange(at), sums[:, begins[k] : begins[k + 1]]
+                # windows that reach over a place: those that begin at or before it and end after it, of the ones there are
+                last = max(0, -(-(len(at) - WINDOW) // STRIDE)) * STRIDE
+                e /= (np.minimum(at, last) // STRIDE - np.maximum(0, (at - WINDOW) // STRIDE + 1) + 1).astype(np.float32)
+                open_[begins[k] : begins[k + 1]] = self.may_hold(e.T)
+        # a part begins where a text does or after a closed place, and ends likewise
+        was = np.concatenate([[False], open_[:-1]])
+        starts, ends = np.flatnonzero(open_ & (first | ~was)), np.flatnonzero(was & (first | ~open_))
+        y = self.best_paths(sums.T, starts, ends, ~first[starts], ~first[ends])
+        out = [[] for _ in texts]
+        for s, e, k in zip(starts, ends, np.searchsorted(begins, starts, side="right") - 1):
+            out[k].append((int(s - begins[k]), y[s:e]))
         return out
 
 
