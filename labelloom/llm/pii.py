@@ -156,7 +156,7 @@ class Tagger:
         de /= n
         da = pair.sum((0, 1))
         np.subtract.at(da, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
-        out = {"a": da / n, "s": de[:, 0].sum(0), "b": de.sum((0, 1)), "w": np.einsum("nth,nto->ho", hid, de)}
+        out = {"a": da / n, "s": de[:, 0].sum(0), "b": de.sum((0, 1)), "w": hid.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, TAGS)}
         dh = de @ p["w"].T
         for d, part, xs in (("f", dh[:, :, :HIDDEN], x), ("b", dh[:, ::-1, HIDDEN:], x[:, ::-1])):
             out["g" + d], out["u" + d] = self._back(xs, part, keep[d], d)
@@ -164,19 +164,21 @@ class Tagger:
 
     def _back(self, x: np.ndarray, dh: np.ndarray, keep: list, d: str) -> tuple[np.ndarray, np.ndarray]:
         u, k = self.p["u" + d], HIDDEN
-        du, every = np.zeros_like(u), np.empty((*x.shape, 4 * k), np.float32)
-        h_next, c_next = np.zeros((len(x), k)), np.zeros((len(x), k))
-        for t in range(x.shape[1] - 1, -1, -1):
-            gates, new, before, c, was = keep[t]
-            i, f, o, tc = gates[:, :k], gates[:, k : 2 * k], gates[:, 2 * k :], np.tanh(c)
-            h = dh[:, t] + h_next
-            cc = h * o * (1 - tc**2) + c_next
-            dz = np.concatenate([cc * new * i * (1 - i), cc * before * f * (1 - f), h * tc * o * (1 - o), cc * i * (1 - new**2)], 1)
-            every[:, t] = dz
-            du += was.T @ dz
-            h_next, c_next = dz @ u.T, cc * f
-        seen = (x.reshape(-1, 1) == np.arange(PAD + 1)).astype(np.float32)
-        return seen.T @ every.reshape(-1, 4 * k), du
+        gates, new, before, c, was = (np.stack(z) for z in zip(*keep))  # (width, windows, ...)
+        i, f, o, tc = gates[:, :, :k], gates[:, :, k : 2 * k], gates[:, :, 2 * k :], np.tanh(c)
+        to_c, to_z = o * (1 - tc**2), np.stack([new * i * (1 - i), before * f * (1 - f), tc * o * (1 - o), i * (1 - new**2)], 2)
+        every = np.empty((len(c), len(x), 4, k), np.float32)
+        dh = np.ascontiguousarray(dh.transpose(1, 0, 2), np.float32)
+        h_next, c_next, back = np.zeros_like(dh[0]), np.zeros_like(dh[0]), np.ascontiguousarray(u.T)
+        for t in range(len(c) - 1, -1, -1):
+            h = dh[t] + h_next
+            cc = h * to_c[t] + c_next
+            np.multiply(to_z[t], cc[:, None], out=every[t])
+            np.multiply(to_z[t, :, 2], h, out=every[t, :, 2])
+            h_next, c_next = every[t].reshape(-1, 4 * k) @ back, cc * f[t]
+        every = every.reshape(-1, 4 * k)
+        seen = (x.T.reshape(-1, 1) == np.arange(PAD + 1)).astype(np.float32)
+        return seen.T @ every, was.reshape(-1, k).T @ every
 
     def viterbi(self, e: np.ndarray, after: bool = False, before: bool = False) -> np.ndarray:
         """The best tags for scores e (length, TAGS); after, before: outside stands before the first, after the last."""
