@@ -37,6 +37,8 @@ WIDTH, WINDOW, STRIDE = 96, 256, 236
 HIDDEN, EPOCHS, BATCH = 12, 16, 32
 #: Windows that go through the network together, and characters of text that are tagged together.
 TOGETHER, CHARACTERS = 512, 1 << 18
+#: Parts that are decoded together, so that what a step holds does not grow with a text.
+PARTS = 1 << 14
 #: Codes: ASCII as it is, any other character, and padding.
 OTHER, PAD = 128, 129
 SEED = 8
@@ -282,10 +284,13 @@ class Tagger:
         # a part begins where a text does or after a closed place, and ends likewise
         was = np.concatenate([[False], open_[:-1]])
         starts, ends = np.flatnonzero(open_ & (first | ~was)), np.flatnonzero(was & (first | ~open_))
-        y = self.best_paths(sums.T, starts, ends, ~first[starts], ~first[ends])
         out = [[] for _ in texts]
-        for s, e, k in zip(starts, ends, np.searchsorted(begins, starts, side="right") - 1):
-            out[k].append((int(s - begins[k]), y[s:e]))
+        for low in range(0, len(starts), PARTS):
+            ss, ends_ = starts[low : low + PARTS], ends[low : low + PARTS]
+            at, end = ss[0], ends_[-1]
+            y = self.best_paths(sums[:, at:end].T, ss - at, ends_ - at, ~first[ss], ~first[ends_])
+            for s, e, k in zip(ss, ends_, np.searchsorted(begins, ss, side="right") - 1):
+                out[k].append((int(s - begins[k]), y[s - at : e - at]))
         return out
 
 
