@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, pii, secrets_scan
+from . import chat, pii, secrets_scan, turn_repair
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -63,6 +63,10 @@ def op10_simhash(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates(_documents(spark, d).select("doc_id", "text"))
 
 
+def op11_turn_repair(spark: SparkSession, d: str) -> DataFrame:
+    return turn_repair.digest(spark.read.parquet(f"{d}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_turn_repair": op11_turn_repair,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
