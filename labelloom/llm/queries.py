@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, pii, secrets_scan, turn_repair
+from . import chat, pii, quality, secrets_scan, turn_repair
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -67,6 +67,10 @@ def op11_turn_repair(spark: SparkSession, d: str) -> DataFrame:
     return turn_repair.digest(spark.read.parquet(f"{d}/conversations.parquet"))
 
 
+def op13_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.report(_documents(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_token_counts": op2_token_counts,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op11_turn_repair": op11_turn_repair,
+    "op13_quality": op13_quality,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -131,4 +136,18 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_rep
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, CAST(count(*) OVER (PARTITION BY text_sha256) AS BIGINT) AS group_size,
   row_number() OVER g = 1 AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)""",
+    "op13_quality": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+i AS (SELECT r, p, count(*) OVER (PARTITION BY r, five) AS n FROM (SELECT r, p, w[p:p + 4] AS five FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS p FROM w))),
+p AS (SELECT r, count(DISTINCT word) AS n FROM (SELECT r, unnest(range(p, p + 5)) AS word FROM i WHERE n > 1) GROUP BY r),
+m AS (SELECT w.r, doc_id, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower,
+  length(regexp_replace(t, '[^!?]', '', 'g')) AS marks, length(regexp_replace(t, '\P{L}+', '', 'g')) AS letters FROM w LEFT JOIN p ON w.r = p.r),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR upper > lower OR 2 * marks > n_words OR 10 * n_dup_lines > 3 * n_lines
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 2 * letters < word_chars) AS kept
+FROM b""",
 }
