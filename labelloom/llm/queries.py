@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, pii, quality, secrets_scan, turn_repair
+from .cross_tokens import alignment
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .mixing import mix
@@ -67,6 +68,10 @@ def op11_turn_repair(spark: SparkSession, d: str) -> DataFrame:
     return turn_repair.digest(spark.read.parquet(f"{d}/conversations.parquet"))
 
 
+def op12_cross_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return alignment(_documents(spark, d))
+
+
 def op13_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.report(_documents(spark, d))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op11_turn_repair": op11_turn_repair,
+    "op12_cross_tokens": op12_cross_tokens,
     "op13_quality": op13_quality,
 }
 
