@@ -553,6 +553,23 @@ def j3_effective_epochs(spark: SparkSession, d: str) -> DataFrame:
     return runs.effective_epochs(v.v_epochs(spark, d), patience=5)
 
 
+# with min_delta above 0 a gain is measured from the last gain, epoch by epoch
+_FOLD = """, l AS (SELECT run_id, list({'best': CAST('-inf' AS DOUBLE), 'bad': 0, 'stop': CAST(NULL AS BIGINT), 'm': val_f1, 'epoch': epoch} ORDER BY epoch) AS l FROM v_epochs GROUP BY run_id),
+f AS (SELECT run_id, list_reduce(list_prepend({'best': CAST('-inf' AS DOUBLE), 'bad': 0, 'stop': CAST(NULL AS BIGINT), 'm': CAST(NULL AS DOUBLE), 'epoch': CAST(0 AS BIGINT)}, l), lambda a, e: {
+  'best': CASE WHEN e.m > a.best + 0.05e0 THEN e.m ELSE a.best END, 'bad': CASE WHEN e.m > a.best + 0.05e0 THEN 0 ELSE a.bad + 1 END,
+  'stop': coalesce(a.stop, CASE WHEN NOT e.m > a.best + 0.05e0 AND a.bad + 1 >= 2 THEN e.epoch END), 'm': e.m, 'epoch': e.epoch}).stop AS stop_epoch FROM l)"""
+
+
+@query(f"{_FOLD} SELECT run_id, stop_epoch FROM f", "v_epochs")
+def j2_early_stop_by_delta(spark: SparkSession, d: str) -> DataFrame:
+    return runs.early_stop(v.v_epochs(spark, d), 2, 0.05)
+
+
+@query(f"{_FOLD} SELECT run_id, epoch, val_f1 FROM v_epochs JOIN f USING (run_id) WHERE stop_epoch IS NULL OR epoch <= stop_epoch", "v_epochs")
+def j3_effective_epochs_by_delta(spark: SparkSession, d: str) -> DataFrame:
+    return runs.effective_epochs(v.v_epochs(spark, d), 2, 0.05)
+
+
 @query(f"""{_STOP} SELECT run_id, epoch, 'best' AS kind, concat('best_valF1_', printf('%.4f', val_f1), '_epoch', epoch) AS name FROM g WHERE gain
 UNION ALL SELECT run_id, epoch, 'last', 'last' FROM g UNION ALL SELECT run_id, epoch, 'periodic', concat('epoch', epoch) FROM g WHERE epoch % 10 = 0""", "v_epochs")
 def j4_checkpoint_plan(spark: SparkSession, d: str) -> DataFrame:

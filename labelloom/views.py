@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .plans.scan import with_first
+from .plans.select import numbered
+
 PIXEL_SIDE = 8
 
 
@@ -46,8 +48,9 @@ def v_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, d: str, name: str) -> DataFrame:
-    order = F.row_number().over(W.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint")
-    return table(spark, d, "events").withColumn(name, order).withColumnRenamed("user_id", "run_id")
+    """Events with their place, from 1, among those of their user."""
+    placed = numbered(table(spark, d, "events").withColumnRenamed("user_id", "run_id"), "run_id", "ts", "event_id", name="_at")
+    return with_first(placed, ["run_id"], "_at", "_first").withColumn(name, F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
 
 
 def v_epochs(spark: SparkSession, d: str) -> DataFrame:
