@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import has_extension
-from ..plans.scratch import small
+from ..plans.scan import left_join_by_group
+from ..plans.scratch import saved, small
 
 CODES = {"BAD_EXT": "error", "BAD_LABEL": "error", "TINY_FILE": "warning", "UNREADABLE": "error", "NOT_RGB": "error", "BAD_SIZE": "error", "ALL_BLACK": "error", "ALL_WHITE": "error", "LOW_STD": "warning", "DUPLICATE": "warning"}
 
@@ -44,13 +45,17 @@ def pixel_stats(df: DataFrame, pixels: str = "px") -> DataFrame:
 
 
 def first_copies(df: DataFrame, digest: str = "digest", path: str = "path", among: Column | None = None) -> DataFrame:
-    """df with first_path: the smallest path with the same digest where this row is a later copy, else null. Only digests that occur twice are joined back."""
+    """df with first_path: the smallest path with the same digest where this row is a later copy, else null.
+
+    Digests are counted with partial sums, and only those that occur twice are joined back, the
+    most frequent ones by broadcast: a digest may be that of any share of all files.
+    """
     rows = df if among is None else df.where(among)
-    twice = rows.groupBy(digest).agg(F.min(path).alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    out = df.join(twice.withColumnRenamed(digest, "_digest"), F.col(digest) == F.col("_digest"), "left")
+    twice = saved(rows.where(F.col(digest).isNotNull()).groupBy(digest).agg(F.min(path).alias("_first"), F.count("*").alias("_n")).where("_n > 1"))
+    out = left_join_by_group(df, twice, digest, "_n", F.col(path))
     ok = F.col("_first").isNotNull() & (F.col(path) != F.col("_first"))
     ok = ok if among is None else ok & among
-    return out.withColumn("first_path", F.when(ok, F.col("_first"))).drop("_first", "_digest")
+    return out.withColumn("first_path", F.when(ok, F.col("_first"))).drop("_first", "_n")
 
 
 def with_rules(files: DataFrame, vocab: DataFrame, cfg: Config) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +23,14 @@ class HeadConfig:
     patience: int = 0
 
 
+#: Partial gradients that one task adds up.
+FAN_IN = 16
+
+
 def _batch(b: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    x = np.array(b.column(0).to_pylist(), np.float64).reshape(-1, dim)
-    return np.hstack([x, np.ones((len(x), 1))]), np.array(b.column(1).to_pylist(), np.int64)
+    """Features, with a constant after them, and classes of rows without nulls: the lists' values, end to end, are one array."""
+    x = pc.list_flatten(b.column(0)).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return np.hstack([x, np.ones((len(x), 1))]), b.column(1).to_numpy(zero_copy_only=False)
 
 
 def _probabilities(x: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -35,7 +40,7 @@ def _probabilities(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 def _gradient(df: DataFrame, w: np.ndarray) -> tuple[np.ndarray, float, int]:
-    """Sum of gradients, of losses, and the number of rows of df(features, y_true): one row from each partition."""
+    """Sum of gradients, of losses, and the number of rows of df(features, y_true): a row from each partition, FAN_IN of which are added up at a time, in order, until there is one."""
     dim = w.shape[1] - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,14 +54,22 @@ def _gradient(df: DataFrame, w: np.ndarray) -> tuple[np.ndarray, float, int]:
                 g += p.T @ x
                 n += len(y)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([g.ravel()], pa.list_(pa.float64())), pa.array([loss]), pa.array([n])], ["g", "loss", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([g.ravel()], pa.list_(pa.float64())), pa.array([loss]), pa.array([n])], ["part", "g", "loss", "n"])
+
+    def add(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by("part")
+        g = np.zeros(w.size)
+        for x in t["g"].to_pylist():
+            g += x
+        return pa.table({"part": [key[0].as_py()], "g": pa.array([g], pa.list_(pa.float64())), "loss": [float(sum(t["loss"].to_pylist()))], "n": [pc.sum(t["n"]).as_py()]})
 
-    parts = df.mapInArrow(run, "g array<double>, loss double, n bigint").orderBy("loss").toLocalIterator()
-    g, loss, n = np.zeros_like(w), 0.0, 0
-    for r in parts:
-        g += np.array(r["g"]).reshape(w.shape)
-        loss, n = loss + r["loss"], n + r["n"]
-    return g, loss, n
+    schema = "part bigint, g array<double>, loss double, n bigint"
+    sums, parts = df.mapInArrow(run, schema), df.rdd.getNumPartitions()
+    while True:
+        sums, parts = sums.withColumn("part", F.expr(f"part div {FAN_IN}")).groupBy("part").applyInArrow(add, schema), -(-parts // FAN_IN)
+        if parts <= 1:
+            r = sums.first()
+            return np.array(r["g"]).reshape(w.shape), r["loss"], r["n"]
 
 
 def confusion_counts(scored: DataFrame) -> list[tuple[int, int, int]]:
@@ -78,9 +91,17 @@ def fit_softmax_head(train: DataFrame, val: DataFrame, classes: int, cfg: HeadCo
 
     train, val (features, y_true), rows with nulls left out. One full-batch step an epoch:
     cross entropy, AdamW with decoupled weight decay, step schedule. The plan does not grow:
-    weights live on the driver, and a task sends back one row.
+    weights live on the driver, which gets one row of gradients an epoch.
     """
     train, val = (d.select("features", F.col("y_true").cast("bigint").alias("y_true")).dropna().persist(StorageLevel.MEMORY_AND_DISK) for d in (train, val))
+    try:
+        return _fit(train, val, classes, cfg)
+    finally:
+        train.unpersist()
+        val.unpersist()
+
+
+def _fit(train: DataFrame, val: DataFrame, classes: int, cfg: HeadConfig) -> tuple[np.ndarray, list[dict]]:
     first = train.select(F.size("features").alias("d")).first()
     if first is None:
         raise ValueError("there are no training rows")
@@ -102,8 +123,6 @@ def fit_softmax_head(train: DataFrame, val: DataFrame, classes: int, cfg: HeadCo
             bad += 1
             if cfg.patience and bad >= cfg.patience:
                 break
-    train.unpersist()
-    val.unpersist()
     return best[1], history
 
 

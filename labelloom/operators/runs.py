@@ -22,7 +22,7 @@ def best_epoch(epochs: DataFrame) -> DataFrame:
 
 def _placed(epochs: DataFrame) -> tuple[DataFrame, int]:
     """epochs with _at, their place by run and epoch, and how many there are."""
-    placed = saved(numbered(epochs, "run_id", "epoch", name="_at"))
+    placed = numbered(epochs, "run_id", "epoch", name="_at")
     return placed, placed.count()
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import key_hash
-from ..plans.scratch import saved
+from ..plans.scan import before, with_first, with_values
 from ..plans.select import numbered, within_quota
 
 
@@ -53,37 +53,52 @@ def stratified_val_split(df: DataFrame, frac: float, seed: int = 42, key: str =
     return within_quota(df, "label", val_quotas(df, frac), key_hash(seed, key), key, flag="_train").withColumn("split", F.when(F.col("_train"), "train").otherwise("val")).drop("_train")
 
 
+#: Fixed value: a numbered name: its stem, its number without leading zeros, and its extension.
+_NUMBERED = r"^(.+)__([1-9][0-9]{0,17})(\.[^.]*|)$"
+
+
+def _free_numbers(df: DataFrame, natural: DataFrame, name: list[str], at: str, k: str, span: int) -> DataFrame:
+    """df with _free: the k-th number that natural(split, label, name) leaves free for the row's stem and extension.
+
+    The i-th taken number b, in order, is passed over by all k of b - i + 1 or more. So taken
+    numbers are counted by the k at which they begin to matter, which meets one row a name and
+    k, and running sums over a name's rows say how many come before each.
+    """
+    folder = ["split", "label"]
+    part = lambda i: F.regexp_extract("name", _NUMBERED, i)
+    taken = natural.where(F.col("name").rlike(_NUMBERED)).select(*folder, F.concat(part(1), part(3)).alias("name"), part(2).cast("bigint").alias("_b"))
+    taken = numbered(taken, *folder, "name", "_b", name="_p")
+    taken = with_first(taken, name, "_p", "_first")
+    begins = taken.groupBy(*name, (F.col("_b") - (F.col("_p") - F.col("_first"))).alias(k)).agg(F.count("*").alias("_begin"))
+    x = before(df.join(begins, [*name, k], "left"), name, at, "_begin", "sum", "_passed", span)
+    return x.withColumn("_free", F.col(k) + F.coalesce("_passed", F.lit(0)) + F.coalesce("_begin", F.lit(0))).drop("_begin", "_passed")
+
+
 def assign_unique_names(df: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """df(split, label, name, path) with dest_name: no two of a folder (split, label) are the same.
 
     By path, the first row of a name keeps it; the others take stem__1.ext, stem__2.ext, ...,
     leaving out numbers whose name is a natural name of the folder or in taken(split, label,
-    name); a name that is itself taken is not kept by anyone. Free numbers are found by
-    arithmetic on the few names that look like stem__i.ext.
+    name); a name that is itself taken is not kept by anyone. Rows are sorted and written once;
+    what is to be known of a name, which may be any share of a folder's, comes to them by
+    blocks. Split, label, name and path are not null.
     """
-    folder = ["split", "label"]
-    stem, ext = F.regexp_replace("name", r"(?<=.)\.[^.]+$", ""), F.regexp_extract("name", r"^.+?(\.[^.]+)$", 1)
-    df = df.withColumns({"_stem": stem, "_ext": ext})
-    natural = df.select(*folder, "name").distinct()
+    name = ["split", "label", "name"]
+    natural = df.select(*name).distinct()
     if taken is not None:
-        natural = natural.unionByName(taken.select(*folder, "name")).distinct()
-        df = df.join(taken.select(*folder, "name").distinct().withColumn("_taken", F.lit(1)), [*folder, "name"], "left")
-    else:
-        df = df.withColumn("_taken", F.lit(None).cast("int"))
+        natural = natural.unionByName(taken.select(*name)).distinct()
     # a row's place among its name's: its position in one sorted table, less the first one's
-    df = saved(numbered(df, *folder, "name", "path", name="_at"))
-    first = df.groupBy(*folder, "name").agg(F.min("_at").alias("_first"))
-    df = df.join(first, [*folder, "name"])
-    df = df.withColumn("_extra", (F.col("_at") - F.col("_first") + 1 - F.when(F.col("_taken").isNull(), 1).otherwise(0)).cast("bigint"))  # 0: keeps its name
-    # numbers that are not free for (stem, ext): natural names of that form, canonical numbers only
-    like = natural.withColumn("_m", F.regexp_extract("name", r"^(.+)__([1-9][0-9]{0,17})(\.[^.]*|)$", 2)).where("_m <> ''")
-    like = like.select(*folder, F.regexp_extract("name", r"^(.+)__([1-9][0-9]{0,17})(\.[^.]*|)$", 1).alias("_stem"), F.regexp_extract("name", r"^(.+)__([1-9][0-9]{0,17})(\.[^.]*|)$", 3).alias("_ext"), F.col("_m").cast("bigint").alias("_i"))
-    blocked = like.groupBy(*folder, "_stem", "_ext").agg(F.array_sort(F.collect_set("_i")).alias("_blocked"))
-    at = df.join(blocked, [*folder, "_stem", "_ext"], "left")
-    # the k-th free number: k, moved up by each blocked number that is not above it
-    free = F.aggregate(F.coalesce("_blocked", F.array().cast("array<bigint>")), F.col("_extra"), lambda k, b: F.when(b <= k, k + 1).otherwise(k))
-    name = F.when(F.col("_extra") == 0, F.col("name")).otherwise(F.concat("_stem", F.lit("__"), free.cast("string"), "_ext"))
-    return at.withColumn("dest_name", name).drop("_stem", "_ext", "_extra", "_blocked", "_taken", "_at", "_first")
+    df = numbered(df, *name, "path", name="_at")
+    span = df.count()
+    first = df.groupBy(*name).agg(F.min("_at").alias("_first")).withColumn("_keeps", F.lit(1))
+    if taken is not None:
+        first = first.join(taken.select(*name).distinct().withColumn("_taken", F.lit(1)), name, "left").withColumn("_keeps", F.when(F.col("_taken").isNull(), 1).otherwise(0)).drop("_taken")
+    df = with_values(df, name, "_at", first)
+    df = df.withColumn("_extra", (F.col("_at") - F.col("_first") + 1 - F.col("_keeps")).cast("bigint"))  # 0: keeps its name
+    x = _free_numbers(df, natural, name, "_at", "_extra", span)
+    stem, ext = F.regexp_replace("name", r"(?<=.)\.[^.]+$", ""), F.regexp_extract("name", r"^.+?(\.[^.]+)$", 1)
+    dest = F.when(F.col("_extra") == 0, F.col("name")).otherwise(F.concat(stem, F.lit("__"), F.col("_free").cast("string"), ext))
+    return x.withColumn("dest_name", dest).drop("_extra", "_free", "_at", "_first", "_keeps")
 
 
 def split_summary(df: DataFrame) -> DataFrame:

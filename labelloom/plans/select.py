@@ -35,13 +35,14 @@ def within_quota(df: DataFrame, group: str, quotas: DataFrame, h: Column, *ties:
 def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
     """df with its place (from 0) in the given order: a range-partitioned sort and the partitions' offsets.
 
-    The sorted table is written, as range boundaries are sampled and must not be found twice.
+    The sorted table is written, as range boundaries are sampled and must not be found twice;
+    what is returned reads that table, so it need not be saved again.
     """
     cols = [F.col(c) for c in order]
     kept = saved(df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_id", F.monotonically_increasing_id()))
     kept = kept.withColumn("_part", F.shiftright("_id", 33))
     sizes = kept.groupBy("_part").agg(F.count("*").alias("_n"))
-    offsets = sizes.select("_part", (F.sum("_n").over(W.partitionBy(F.lit(1)).orderBy("_part")) - F.col("_n")).alias("_before"))
+    offsets = saved(sizes.select("_part", (F.sum("_n").over(W.partitionBy(F.lit(1)).orderBy("_part")) - F.col("_n")).alias("_before")).coalesce(1))  # a row a partition
     return kept.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part", "_before")
 
 

@@ -37,11 +37,11 @@ def r6(*columns: str) -> list:
 
 
 def class_names(spark: SparkSession, d: str) -> DataFrame:
-    """Ten class names: the first nations."""
-    return v.table(spark, d, "nation").where("n_nationkey < 10").select(F.col("n_nationkey").cast("int").alias("idx"), F.col("n_name").alias("label"))
+    """A vocabulary of customers."""
+    return v.table(spark, d, "customer").select(F.col("c_custkey").cast("int").alias("idx"), F.col("c_name").alias("label"))
 
 
-NAMES = "SELECT CAST(n_nationkey AS INTEGER) AS idx, n_name AS label FROM nation WHERE n_nationkey < 10"
+NAMES = "SELECT CAST(c_custkey AS INTEGER) AS idx, c_name AS label FROM customer"
 H = "md5(concat('42:', path))"
 
 # ---- sources and sinks ----
@@ -58,6 +58,16 @@ def a2_filter_ext(spark: SparkSession, d: str) -> DataFrame:
     return tree.filter_ext(v.table(spark, d, "pages"), "html,htm,.PHP", "url").select("page_id", "url")
 
 
+@query("""SELECT key, px IS NOT NULL AS readable, CASE WHEN px IS NULL THEN -1 ELSE 8 END AS height, CASE WHEN px IS NULL THEN -1 ELSE 8 END AS width, CASE WHEN px IS NOT NULL THEN 3 ELSE -1 END AS n_channels,
+  sha1(unhex(array_to_string(list_transform(px, lambda x: repeat(printf('%02x', x), 3)), ''))) AS digest FROM v_pixels""", "v_pixels")
+def a3_decode_images(spark: SparkSession, d: str) -> DataFrame:
+    """Images written as files by class and read back; those without pixels are files that cannot be read."""
+    root = scratch_dir(spark)
+    tree.write_images(images.from_pixels(v.v_pixels(spark, d), v.PIXEL_SIDE).withColumn("name", F.col("key")), root)
+    key = F.regexp_extract("path", r"([0-9]+)\.png$", 1).cast("bigint").alias("key")
+    return tree.decode_images(spark, root).select(key, "readable", "height", "width", "n_channels", F.when(F.col("readable"), F.sha1("data")).alias("digest"))
+
+
 @query("""SELECT root, CAST(count(doc_id) AS BIGINT) AS n FROM (SELECT unnest(['Training', 'Testing', 'Missing']) AS root) LEFT JOIN v_files USING (root) GROUP BY root""", "v_files")
 def a4_count_by_root(spark: SparkSession, d: str) -> DataFrame:
     return tree.count_by_root(v.v_files(spark, d), ["Training", "Testing", "Missing"])
@@ -92,11 +102,21 @@ def a7_validate_pointer(spark: SparkSession, d: str) -> DataFrame:
     return ledger.validate_pointer(x, "mapping").select("rev", F.array_join("violations", ",").alias("violations"))
 
 
-@query("""SELECT run_id, round(val_f1, 6) AS best_f1, epoch AS best_epoch, n AS epochs, (SELECT string_agg(label, ',' ORDER BY label) FROM (SELECT DISTINCT label FROM v_files)) AS classes
- FROM (SELECT *, CAST(count(*) OVER (PARTITION BY run_id) AS BIGINT) AS n, row_number() OVER (PARTITION BY run_id ORDER BY val_f1 DESC, epoch) AS r FROM v_epochs) WHERE r = 1""", "v_epochs", "v_files")
+_BEST = """SELECT run_id, round(val_f1, 6) AS best_f1, epoch AS best_epoch, n AS epochs, (SELECT string_agg(label, ',' ORDER BY label) FROM (SELECT DISTINCT label FROM v_files)) AS classes
+ FROM (SELECT *, CAST(count(*) OVER (PARTITION BY run_id) AS BIGINT) AS n, row_number() OVER (PARTITION BY run_id ORDER BY val_f1 DESC, epoch) AS r FROM {}) WHERE r = 1"""
+
+
+@query(f""", early AS (SELECT * FROM v_epochs WHERE epoch <= 10), a AS ({_BEST.format("early")}), b AS ({_BEST.format("v_epochs")})
+SELECT *, CAST('2024-01-03' AS VARCHAR) AS written FROM a WHERE run_id % 3 = 0 UNION ALL SELECT *, '2024-01-02' FROM b WHERE run_id % 3 <> 0""", "v_epochs", "v_files")
 def a8_training_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Two records a run, of its first ten epochs and of all, appended to a history; of every third run the former was written last."""
+    path, epochs = scratch_dir(spark), v.v_epochs(spark, d)
     counts = v.v_files(spark, d).groupBy("label").agg(F.count("*").alias("n"))
-    return ledger.training_summary(v.v_epochs(spark, d), counts).select("run_id", "best_f1", "best_epoch", "epochs", F.array_join("classes", ",").alias("classes"))
+    early = F.when(F.col("run_id") % 3 == 0, "2024-01-03").otherwise("2024-01-01").cast("timestamp")
+    ledger.append_summary(ledger.training_summary(epochs.where("epoch <= 10"), counts), path, "owner/files", early)
+    ledger.append_summary(ledger.training_summary(epochs, counts), path, "owner/files", F.lit("2024-01-02").cast("timestamp"), checkpoint=F.lit("best.pt"))
+    last = ledger.latest_summary(spark.read.parquet(path), "run_id")
+    return last.select("run_id", "best_f1", "best_epoch", "epochs", F.array_join("classes", ",").alias("classes"), F.date_format("written_at", "yyyy-MM-dd").alias("written"))
 
 
 _EVAL = """c AS (SELECT y_true, y_pred, count(*) AS n FROM {view} WHERE y_true IS NOT NULL AND y_pred IS NOT NULL GROUP BY 1, 2),
@@ -110,7 +130,11 @@ _HEADLINE = "SELECT round(sum(hits) / sum(support), 6) AS acc, round(avg(precisi
 
 @query(f", {_EVAL.format(view='v_pairs')} {_HEADLINE}", "v_pairs")
 def a8_eval_summary(spark: SparkSession, d: str) -> DataFrame:
-    return ledger.eval_summary(evaluate.evaluate(v.v_pairs(spark, d)))
+    """The record written last of two, the first of which is of other predictions; at the same time the checkpoint decides."""
+    path, at = scratch_dir(spark), F.lit("2024-01-02").cast("timestamp")
+    for view, checkpoint in ((v.v_preds, "best_1.pt"), (v.v_pairs, "best_2.pt")):
+        ledger.append_summary(ledger.eval_summary(evaluate.evaluate(view(spark, d))), path, "owner/files", at, checkpoint=F.lit(checkpoint))
+    return ledger.latest_summary(spark.read.parquet(path)).select("acc", "precision_macro", "recall_macro", "f1_macro", "samples")
 
 
 # ---- projections and relabelling ----
@@ -160,10 +184,11 @@ def c3_class_set_diff(spark: SparkSession, d: str) -> DataFrame:
     return vocab.class_set_diff(v.v_files(spark, d), expected, "root")
 
 
-@query(f"""WITH a AS ({NAMES}), b AS (SELECT CAST(9 - idx AS INTEGER) AS idx, label FROM a) SELECT count(*) FILTER (a.label IS DISTINCT FROM b.label) = 0 AS ok, CAST(count(*) FILTER (a.label IS DISTINCT FROM b.label) AS BIGINT) AS n_wrong FROM a FULL JOIN b USING (idx)""")
+@query(f"""WITH a AS ({NAMES}), b AS (SELECT idx, CASE WHEN idx % 7 = 0 THEN concat(label, '?') ELSE label END AS label FROM a WHERE idx % 11 <> 0)
+SELECT count(*) FILTER (a.label IS DISTINCT FROM b.label) = 0 AS ok, CAST(count(*) FILTER (a.label IS DISTINCT FROM b.label) AS BIGINT) AS n_wrong FROM a FULL JOIN b USING (idx)""")
 def c4_verify_classes(spark: SparkSession, d: str) -> DataFrame:
     names = class_names(spark, d)
-    return vocab.verify_classes(names, names.withColumn("idx", 9 - F.col("idx")))
+    return vocab.verify_classes(names, names.where("idx % 11 <> 0").withColumn("label", F.when(F.col("idx") % 7 == 0, F.concat("label", F.lit("?"))).otherwise(F.col("label"))))
 
 
 # ---- splitting, sampling, ordering, batches ----
@@ -188,6 +213,22 @@ def d3_unique_names(spark: SparkSession, d: str) -> DataFrame:
     return split.assign_unique_names(split.stratified_split(v.v_files(spark, d), 0.2)).select("path", "dest_name")
 
 
+@query(f""", {_SPLIT}, f AS (SELECT path, split, label, CASE WHEN doc_id % 6 = 1 THEN replace(name, '.txt', concat('__', doc_id % 23 + 1, '.txt')) ELSE name END AS name FROM s),
+t AS (SELECT DISTINCT split, label, name FROM f WHERE length(path) % 7 = 3 UNION SELECT DISTINCT split, label, replace(name, '.txt', '__2.txt') FROM f),
+u AS (SELECT DISTINCT split, label, name FROM f UNION SELECT * FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY split, label, name ORDER BY path) - CASE WHEN (split, label, name) IN (SELECT (split, label, name) FROM t) THEN 0 ELSE 1 END AS k FROM f),
+g AS (SELECT split, label, name, max(k) AS k FROM r GROUP BY ALL), n AS (SELECT *, unnest(range(1, k + 60)) AS i FROM g),
+o AS (SELECT *, row_number() OVER (PARTITION BY split, label, name ORDER BY i) AS place FROM (SELECT *, regexp_replace(name, '\\.txt$', concat('__', i, '.txt')) AS dest FROM n) WHERE (split, label, dest) NOT IN (SELECT (split, label, name) FROM u))
+SELECT path, CASE WHEN r.k = 0 THEN r.name ELSE dest END AS dest_name FROM r LEFT JOIN o ON r.split = o.split AND r.label = o.label AND r.name = o.name AND r.k = o.place""".replace("\\\\", "\\"), "v_files")
+def d3_unique_names_taken(spark: SparkSession, d: str) -> DataFrame:
+    """Many names that look like numbered ones, and folders that have names already."""
+    x = split.stratified_split(v.v_files(spark, d), 0.2)
+    numbered = F.replace("name", F.lit(".txt"), F.concat(F.lit("__"), (F.col("doc_id") % 23 + 1).cast("string"), F.lit(".txt")))
+    x = x.withColumn("name", F.when(F.col("doc_id") % 6 == 1, numbered).otherwise(F.col("name")))
+    second = x.select("split", "label", F.replace("name", F.lit(".txt"), F.lit("__2.txt")).alias("name"))
+    return split.assign_unique_names(x, x.where(F.length("path") % 7 == 3).select("split", "label", "name").unionByName(second)).select("path", "dest_name")
+
+
 @query(f", {_SPLIT} SELECT label, CAST(count(*) FILTER (split = 'train') AS BIGINT) AS n_train, CAST(count(*) FILTER (split = 'test') AS BIGINT) AS n_test FROM s GROUP BY label", "v_files")
 def d4_split_summary(spark: SparkSession, d: str) -> DataFrame:
     return split.split_summary(split.stratified_split(v.v_files(spark, d), 0.2))
@@ -228,12 +269,13 @@ def e2_check_vocab(spark: SparkSession, d: str) -> DataFrame:
     return vocab.check_vocab(v.table(spark, d, "customer").select(F.when(k % 50 == 0, F.concat(F.lit("k"), k)).otherwise(k.cast("string")).alias("key"), F.when(k % 70 == 0, "").when(k % 110 != 1, F.col("c_mktsegment")).alias("value")))
 
 
-@query("SELECT n_regionkey % 2 = 0 AS by_index, CAST(n_regionkey AS BIGINT) AS region, CAST(n_nationkey AS INTEGER) AS idx, n_name AS label FROM nation")
+@query("SELECT (c_custkey // 50) % 2 = 0 AS by_index, CAST(c_custkey // 50 AS BIGINT) AS part, CAST(c_custkey AS INTEGER) AS idx, c_name AS label FROM customer")
 def e3_normalize_vocab(spark: SparkSession, d: str) -> DataFrame:
-    n = v.table(spark, d, "nation").withColumn("by_index", F.col("n_regionkey") % 2 == 0)
-    a, b = F.col("n_nationkey").cast("string"), F.col("n_name")
-    maps = n.groupBy("by_index", F.col("n_regionkey").cast("bigint").alias("region")).agg(F.map_from_entries(F.collect_list(F.struct(F.when(F.col("by_index"), a).otherwise(b), F.when(F.col("by_index"), b).otherwise(a)))).alias("entries"))
-    return vocab.normalize_vocab(maps)
+    """A map for each fifty customers, from number to name or from name to number."""
+    part = F.expr("c_custkey div 50").cast("bigint")
+    n = v.table(spark, d, "customer").select(part.alias("part"), (part % 2 == 0).alias("by_index"), F.col("c_custkey").cast("string").alias("a"), F.col("c_name").alias("b"))
+    entry = F.struct(F.when(F.col("by_index"), F.col("a")).otherwise(F.col("b")), F.when(F.col("by_index"), F.col("b")).otherwise(F.col("a")))
+    return vocab.normalize_vocab(n.groupBy("by_index", "part").agg(F.map_from_entries(F.collect_list(entry)).alias("entries")))
 
 
 @query(", l AS (SELECT DISTINCT label FROM v_files WHERE label <> 'fr'), w AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM l) SELECT doc_id, idx FROM v_files LEFT JOIN w USING (label)", "v_files")
@@ -242,10 +284,23 @@ def e4_encode_labels(spark: SparkSession, d: str) -> DataFrame:
     return vocab.encode_labels(x, vocab.build_vocab(x.where("label <> 'fr'"))).select("doc_id", "idx")
 
 
-@query("SELECT key, CASE WHEN y_true BETWEEN 0 AND 9 THEN 9 - y_true ELSE y_true END AS y_true, true AS remapped FROM v_preds", "v_preds")
+@query(f"""WITH a AS ({NAMES}), b AS (SELECT 2 * idx + 1 AS new, label FROM a), m AS (SELECT idx, new FROM a JOIN b USING (label)),
+p AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 9 = 0 THEN -1 ELSE o_custkey END AS y_true FROM orders)
+SELECT key, CAST(coalesce(new, y_true) AS BIGINT) AS y_true, (SELECT count(*) FROM a) = (SELECT count(*) FROM m) AS remapped FROM p LEFT JOIN m ON y_true = idx""")
 def e5_remap_indices(spark: SparkSession, d: str) -> DataFrame:
+    """Customers renumbered; some orders are of none."""
     names = class_names(spark, d)
-    return vocab.remap_indices(v.v_preds(spark, d), names, names.withColumn("idx", 9 - F.col("idx"))).select("key", "y_true", "remapped")
+    y = F.when(F.col("o_orderkey") % 9 == 0, F.lit(-1)).otherwise(F.col("o_custkey")).cast("bigint")
+    preds = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), y.alias("y_true"))
+    return vocab.remap_indices(preds, names, names.withColumn("idx", 2 * F.col("idx") + 1)).select("key", "y_true", "remapped")
+
+
+@query(f"WITH a AS ({NAMES}) SELECT o_orderkey AS key, CAST(o_custkey AS BIGINT) AS y_true, (SELECT count(*) FROM a WHERE idx % 5 = 0) = 0 AS remapped FROM orders")
+def e5_remap_other_names(spark: SparkSession, d: str) -> DataFrame:
+    """Vocabularies that do not have the same names leave indices as they are."""
+    names = class_names(spark, d)
+    preds = v.table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").cast("bigint").alias("y_true"))
+    return vocab.remap_indices(preds, names, names.where("idx % 5 <> 0").withColumn("idx", F.col("idx") + 7)).select("key", "y_true", "remapped")
 
 
 # ---- per-class aggregates ----
@@ -261,7 +316,7 @@ def f1_class_counts(spark: SparkSession, d: str) -> DataFrame:
     return vocab.class_counts(*_vocab_and_more(spark, d))
 
 
-@query("SELECT 'zz' AS label FROM v_files LIMIT 1", "v_files")
+@query("SELECT label FROM (SELECT DISTINCT label FROM v_files UNION SELECT 'zz') WHERE label NOT IN (SELECT label FROM v_files)", "v_files")
 def f2_empty_classes(spark: SparkSession, d: str) -> DataFrame:
     return vocab.empty_classes(*_vocab_and_more(spark, d))
 
@@ -320,7 +375,37 @@ def g4_normalize(spark: SparkSession, d: str) -> DataFrame:
     return x.select("key", F.round(F.aggregate("f", F.lit(0.0), lambda a, p: a + p), 4).alias("total"), F.round(F.element_at("f", 1), 6).alias("first"))
 
 
-@query()
+def _unit(what: str) -> str:
+    """SQL for a key's number in [0, 1) that augmentation takes for something."""
+    return f"CAST(concat('0x', substr(md5(concat('42:0:{what}:0:', key)), 1, 12)) AS BIGINT) / 281474976710656e0"
+
+
+def _factor(what: str, x: float) -> str:
+    low = max(0.0, 1.0 - x)
+    return f"{low!r}e0 + ({_unit(what)}) * {1.0 + x - low!r}e0"
+
+
+def _rotated(source: str, degrees: int) -> str:
+    """SQL that turns px of a table around the middle: for each pixel, the one that it comes from, or black."""
+    row, col = "(i // 8 - 3.5e0)", "(i % 8 - 3.5e0)"
+    sy, sx = f"CAST(floor(cos(t) * {row} - sin(t) * {col} + 3.5e0 + 0.5e0) AS BIGINT)", f"CAST(floor(sin(t) * {row} + cos(t) * {col} + 3.5e0 + 0.5e0) AS BIGINT)"
+    return f"""(SELECT * REPLACE (CASE WHEN px IS NOT NULL THEN list_transform(range(64), lambda i: CASE WHEN {sy} BETWEEN 0 AND 7 AND {sx} BETWEEN 0 AND 7 THEN px[{sy} * 8 + {sx} + 1] ELSE 0 END) END AS px)
+  FROM (SELECT *, (({_unit("angle")}) * 2 - 1) * {degrees}e0 * (pi() / 180e0) AS t FROM {source}))"""
+
+
+def _jittered(source: str, brightness: float, contrast: float) -> str:
+    """SQL that changes px of a table by brightness and contrast in the key's order, cut off after each."""
+    bright = lambda p: f"list_transform({p}, lambda x: floor(least(255e0, greatest(0e0, x * b))))"
+    contr = lambda p, m: f"list_transform({p}, lambda x: floor(least(255e0, greatest(0e0, {m} + (x - {m}) * c))))"
+    mean = lambda p: f"floor(list_sum({p}) / 64e0 + 0.5e0)"
+    return f"""(SELECT * REPLACE (CASE WHEN first THEN {contr("p1", "m")} ELSE {bright("p1")} END AS px) FROM (SELECT *, {mean("p1")} AS m FROM (
+  SELECT *, CASE WHEN first THEN {bright("px")} ELSE {contr("px", "m0")} END AS p1 FROM (SELECT *, {mean("px")} AS m0, {_unit("order")} < 0.5e0 AS first, {_factor("brightness", brightness)} AS b, {_factor("contrast", contrast)} AS c FROM {source}))))"""
+
+
+_BYTES = "sha1(unhex(array_to_string(list_transform(px, lambda x: repeat(printf('%02x', CAST(x AS BIGINT)), 3)), ''))) AS digest"
+
+
+@query(f"SELECT key, {_BYTES} FROM {_rotated('v_pixels', 15)}", "v_pixels")
 def g5_augment_rotate(spark: SparkSession, d: str) -> DataFrame:
     return images.augment_rotate(_images(spark, d), 15).select("key", F.sha1("data").alias("digest"))
 
@@ -331,7 +416,7 @@ def g6_augment_hflip(spark: SparkSession, d: str) -> DataFrame:
     return images.augment_hflip(v.v_pixels(spark, d), 0.5, v.PIXEL_SIDE).select("key", F.array_join("px", ",").alias("px"))
 
 
-@query()
+@query(f"SELECT key, {_BYTES} FROM {_jittered('v_pixels', 0.2, 0.2)}", "v_pixels")
 def g7_augment_jitter(spark: SparkSession, d: str) -> DataFrame:
     return images.augment_jitter(_images(spark, d), 0.2, 0.2).select("key", F.sha1("data").alias("digest"))
 
@@ -341,13 +426,16 @@ def g8_augment_n(spark: SparkSession, d: str) -> DataFrame:
     return images.augment_copies(_images(spark, d), 3, 15, 0.5, 0.1, 0.1).select("key", "copy")
 
 
-@query()
+_TENSOR = f"""CAST(3 * len(px) AS BIGINT) AS n, round(list_sum(flatten([{", ".join(f"list_transform(px, lambda x: CAST(CAST((x / 255e0 - {m}e0) / {s}e0 AS FLOAT) AS DOUBLE))" for m, s in zip(MEAN, STD))}])), 4) AS total"""
+_FLIPPED = f"""(SELECT * REPLACE (CASE WHEN px IS NOT NULL AND {_unit("flip")} < 0.5e0 THEN flatten(list_transform(range(8), lambda r: list_reverse(px[r * 8 + 1:r * 8 + 8]))) ELSE px END AS px) FROM {_rotated("v_pixels", 15)})"""
+
+
+@query(f"SELECT key, {_TENSOR} FROM {_jittered(_FLIPPED, 0.1, 0.1)}", "v_pixels")
 def g9_prepare_train(spark: SparkSession, d: str) -> DataFrame:
     return images.tensor_stats(images.prepare_train(_images(spark, d)), ["key"])
 
 
-@query(f"""SELECT key, CAST(3 * len(px) AS BIGINT) AS n, round(list_sum(flatten([{", ".join(f"list_transform(px, lambda x: CAST(CAST((x / 255e0 - {m}e0) / {s}e0 AS FLOAT) AS DOUBLE))" for m, s in zip(MEAN, STD))}])), 4) AS total
-FROM v_pixels""", "v_pixels")
+@query(f"SELECT key, {_TENSOR} FROM v_pixels", "v_pixels")
 def g9_prepare_eval(spark: SparkSession, d: str) -> DataFrame:
     return images.tensor_stats(images.prepare_eval(_images(spark, d)), ["key"])
 

@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import basename, extensions, has_extension, label_first, suffix
+from ..plans.scratch import saved
 
+#: Fixed value: how a PNG file begins.
+SIGNATURE = b"\x89PNG\r\n\x1a\n"
 FILES = "path string, root string, label string, name string, ext string, length bigint, content binary"
 
 
@@ -46,6 +57,44 @@ def decode_images(spark: SparkSession, root: str) -> DataFrame:
     return image.select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("n_channels"), "image.data", (F.col("image.height") > 0).alias("readable"))
 
 
+def png(height: int, width: int, data: bytes) -> bytes:
+    """BGR pixels, row by row, as a PNG file of eight bits a channel; lossless."""
+    rgb = np.frombuffer(data, np.uint8).reshape(height, width, 3)[:, :, ::-1]
+    lines = np.hstack([np.zeros((height, 1), np.uint8), rgb.reshape(height, 3 * width)]).tobytes()
+    chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    head = struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0)
+    return SIGNATURE + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
+
+
+def write_images(df: DataFrame, root: str) -> DataFrame:
+    """Write each image of df(label, name, height, width, data) to root/<label>/<name>.png, and return (label, name, path, bytes) of the files.
+
+    An image without data becomes a file that has a signature and nothing else, which cannot be read.
+    Tasks write to the file system of root, a local one or one that pyarrow knows. A task
+    that runs again writes the same files. Labels and names must not be null.
+    """
+    base = root if re.match(r"[a-z][a-z0-9]*:/", root) else f"file://{root}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = pa_fs.FileSystem.from_uri(base)
+        made = set()
+        for b in batches:
+            paths, sizes = [], []
+            for label, name, h, w, data in zip(*[b.column(c).to_pylist() for c in ("label", "name", "height", "width", "data")]):
+                if label not in made:
+                    fs.create_dir(f"{folder}/{label}", recursive=True)
+                    made.add(label)
+                body = png(h, w, data) if data else SIGNATURE
+                with fs.open_output_stream(f"{folder}/{label}/{name}.png") as f:
+                    f.write(body)
+                paths.append(f"{base.rstrip('/')}/{label}/{name}.png")
+                sizes.append(len(body))
+            yield pa.RecordBatch.from_arrays([b.column("label"), b.column("name"), pa.array(paths), pa.array(sizes, pa.int64())], ["label", "name", "path", "bytes"])
+
+    named = df.select(F.col("label").cast("string").alias("label"), F.col("name").cast("string").alias("name"), "height", "width", "data")
+    return saved(named.mapInArrow(run, "label string, name string, path string, bytes bigint"))
+
+
 def count_by_root(df: DataFrame, roots: list[str]) -> DataFrame:
     """(root, n) for each of roots, 0 where there is no row."""
     wanted = df.sparkSession.createDataFrame([(r,) for r in roots], "root string")

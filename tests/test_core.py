@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labelloom.functions import kernels, paths
 from labelloom.operators import audit, evaluate, head, images, runs, split, vocab
+from labelloom.plans import scan
 from labelloom.plans.select import numbered
 from labelloom.sources import ledger, tree
 
@@ -300,3 +301,74 @@ def test_scores_of_null_features(spark):
     got = {r.key: r.scores for r in head.score(df.coalesce(1), np.array([[1.0, 0.0, 0.5], [0.0, 1.0, 0.0], [1.0, 1.0, 1.0]])).collect()}
     assert got == {0: [1.5, 2.0, 4.0], 1: None, 2: [3.5, 4.0, 8.0]}
     assert head.score(df.where("key = 1"), np.ones((2, 3))).first().scores is None and head.score(df.limit(0), np.ones((2, 3))).count() == 0
+
+
+def test_softmax_head_agrees_with_a_plain_fit(spark, monkeypatch):
+    """Gradients added up two at a time give the same weights as one array in memory."""
+    monkeypatch.setattr(head, "FAN_IN", 2)
+    rng = np.random.default_rng(7)
+    y = rng.integers(0, 3, 200)
+    x = rng.normal(0, 1, (200, 5)) + 2 * np.eye(3, 5)[y]
+    cfg = head.HeadConfig(epochs=6, step=3)
+    df = spark.createDataFrame([(v.tolist(), int(k)) for v, k in zip(x, y)] + [(None, 1), ([0.0] * 5, None)], "features array<double>, y_true int").repartition(9)
+    got, history = head.fit_softmax_head(df, df, 3, cfg)
+    z, w = np.hstack([x, np.ones((200, 1))]), np.zeros((3, 6))
+    m, v, best = np.zeros_like(w), np.zeros_like(w), (-1.0, w)
+    for epoch in range(1, cfg.epochs + 1):
+        lr = cfg.lr * cfg.gamma ** ((epoch - 1) // cfg.step)
+        p = np.exp(z @ w.T) / np.exp(z @ w.T).sum(1, keepdims=True)
+        assert abs(history[epoch - 1]["train_loss"] + np.log(p[np.arange(200), y]).mean()) < 1e-9
+        g = (p - np.eye(3)[y]).T @ z / 200
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w * (1 - lr * cfg.weight_decay) - lr * (m / (1 - 0.9**epoch)) / (np.sqrt(v / (1 - 0.999**epoch)) + 1e-8)
+        f1 = head.macro_f1([(int(a), int(b), 1) for a, b in zip(y, (z @ w.T).argmax(1))])
+        best = (f1, w) if f1 > best[0] else best
+    assert np.allclose(got, best[1], atol=1e-6)
+
+
+def test_images_are_written_without_loss(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    px = {f"i{n}": rng.integers(0, 256, (h, w, 3), dtype=np.uint8) for n, (h, w) in enumerate([(1, 1), (3, 5), (64, 17)])}
+    rows = [("a", k, v.shape[0], v.shape[1], v.tobytes()) for k, v in px.items()] + [("b c", "none", None, None, None)]
+    df = spark.createDataFrame(rows, "label string, name string, height int, width int, data binary").repartition(3)
+    made = {r.name: r for r in tree.write_images(df, str(tmp_path / "out")).collect()}
+    assert set(made) == {*px, "none"} and made["none"].bytes == len(tree.SIGNATURE)
+    read = {r.path.rsplit("/", 1)[1].removesuffix(".png"): r for r in tree.decode_images(spark, str(tmp_path / "out")).collect()}
+    assert {k for k, r in read.items() if r.readable} == set(px) and len(read) == 4
+    for k, v in px.items():
+        assert (read[k].height, read[k].width) == v.shape[:2] and bytes(read[k].data) == v.tobytes()
+
+
+def test_unique_names_with_hot_names_and_many_taken_numbers(spark, monkeypatch):
+    """Against a plain count, with blocks so small that one name has many of them."""
+    monkeypatch.setattr(scan, "BLOCK", 4)
+    names = ["x.png"] * 60 + [f"x__{i}.png" for i in (1, 2, 3, 5, 8, 9, 40, 41, 99)] + ["x__5.png", "x__05.png", "y", "y", "y__1", ".z", ".z"]
+    rows = [("train", "c", n, f"{i:03}") for i, n in enumerate(names)] + [("test", "c", "x.png", "a"), ("test", "c", "x.png", "b")]
+    taken = [("train", "c", f"x__{i}.png") for i in range(10, 20)] + [("test", "c", "x.png"), ("train", "d", "q")]
+    df, held = spark.createDataFrame(rows, "split string, label string, name string, path string"), spark.createDataFrame(taken, "split string, label string, name string")
+    want = {}
+    blocked = {r[:3] for r in rows} | set(taken)
+    seen = {}
+    for s, c, n, path in sorted(rows, key=lambda r: (r[0], r[2], r[3])):
+        k = seen.get((s, n), 0)
+        if k == 0 and (s, c, n) not in taken and (s, n, "kept") not in seen:
+            seen[s, n, "kept"] = 1
+            want[path] = n
+            continue
+        stem, ext = (n.rpartition(".")[0], "." + n.rpartition(".")[2]) if "." in n[1:] else (n, "")
+        k += 1
+        while (s, c, f"{stem}__{k}{ext}") in blocked:
+            k += 1
+        seen[s, n] = k
+        want[path] = f"{stem}__{k}{ext}"
+    assert {r.path: r.dest_name for r in split.assign_unique_names(df, held).collect()} == want
+
+
+def test_copies_of_a_hot_digest_are_found(spark):
+    rows = [(f"p{i:04}", "hot" if i % 3 == 0 else None if i % 3 == 1 else f"d{i // 4}") for i in range(600)]
+    df = spark.createDataFrame(rows, "path string, digest string")
+    first = {}
+    for p, g in rows:
+        first.setdefault(g, p)
+    got = {r.path: r.first_path for r in audit.first_copies(df).collect()}
+    assert got == {p: first[g] if g is not None and first[g] != p else None for p, g in rows}
