@@ -10,6 +10,7 @@ lengths follow from the next larger one.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,6 +27,11 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$
 #: Lengths of one bucket of the suffix sums.
 BUCKET = 1024
 
+#: Fixed value: what the pattern calls white space.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: White space characters in a row before another character over which a text is cut: the encoder fails over some hundred thousand.
+LONG = 10_000
+
 _ENCODERS: dict[int, object] = {}
 
 
@@ -40,8 +46,24 @@ def encoder(vocabulary: bytes, pattern: str = PATTERN):
     return _ENCODERS[key]
 
 
+def pieces(text: str, long: int = LONG) -> list[str]:
+    """text cut so that the pieces' tokens are those of the whole.
+
+    Of a run of white space before another character the pattern takes all but the last as
+    one part, and the last goes with what follows or is a part by itself. So a long run may be
+    cut before its first and its last character: alone, it is one part too.
+    """
+    out, at = [], 0
+    for run in re.finditer(f"[{BLANKS}]{{{long},}}", text):
+        if run.end() == len(text):
+            break
+        out += [text[at : run.start()], text[run.start() : run.end() - 1]]
+        at = run.end() - 1
+    return [*out, text[at:]]
+
+
 def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
-    """docs(text, ...) with n_tokens, the encoded length of the whole text; null text has 0. Text is never cut, special tokens are ordinary text. A column named n_tokens, in whatever case, is replaced."""
+    """docs(text, ...) with n_tokens, the encoded length of the whole text; null text has 0. Whole texts of any length, special tokens are ordinary text. A column named n_tokens, in whatever case, is replaced."""
     with open(vocabulary, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file, about a megabyte
     rows = packed(docs, others(docs, "n_tokens"))
@@ -50,7 +72,7 @@ def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(shared.value, pattern)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(enc.encode_ordinary(x.as_py() or "")) for x in b.column(0).field(place)], pa.int64())], ["row", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([sum(len(enc.encode_ordinary(p)) for p in pieces(x.as_py() or "")) for x in b.column(0).field(place)], pa.int64())], ["row", "n_tokens"])
 
     return rows.mapInArrow(run, with_types(rows, "n_tokens bigint")).select("row.*", "n_tokens")
 
