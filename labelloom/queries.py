@@ -682,6 +682,40 @@ def j7_fit_softmax_head(spark: SparkSession, d: str) -> DataFrame:
     return head.score(x.where("key % 5 = 0"), weights).select("key", F.col("y_true").cast("bigint").alias("y_true"), evaluate.predict("scores").alias("y_pred"))
 
 
+def _history(cfg: head.HeadConfig, classes: int = 10, features: int = 64) -> str:
+    """SQL for the records of a fit, epoch by epoch: losses before a step, then the step, then what the new weights say of the other fifth."""
+    rows = "SELECT vec_id AS key, list_append(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), 1e0) AS x, CAST(label AS BIGINT) AS y FROM embeddings WHERE vec_id % 5 {} 0"
+    out = [f"WITH t AS ({rows.format('<>')})", f"u AS ({rows.format('=')})", f"w0 AS (SELECT k, i, 0e0 AS w, 0e0 AS m, 0e0 AS v FROM range({classes}) a(k), range(1, {features + 2}) b(i))"]
+    last = []
+    for e in range(1, cfg.epochs + 1):
+        lr = cfg.lr * cfg.gamma ** ((e - 1) // cfg.step)
+        lists = "(SELECT k, list(w ORDER BY i) AS w FROM w{} GROUP BY k)"
+        out += [
+            f"z{e} AS (SELECT key, y, x, k, list_dot_product(x, w) AS z FROM t, {lists.format(e - 1)})",
+            f"q{e} AS (SELECT key, y, x, k, exp(z - max(z) OVER (PARTITION BY key)) AS q FROM z{e})",
+            f"p{e} AS (SELECT key, y, x, k, q / sum(q) OVER (PARTITION BY key) AS p FROM q{e})",
+            f"g{e} AS (SELECT k, i, sum((p - CASE WHEN k = y THEN 1 ELSE 0 END) * x[i]) / (SELECT count(*) FROM t) AS g FROM p{e}, range(1, {features + 2}) b(i) GROUP BY k, i)",
+            f"s{e} AS (SELECT k, i, w, 0.9e0 * m + 0.1e0 * g AS m, 0.999e0 * v + 0.001e0 * g * g AS v FROM w{e - 1} JOIN g{e} USING (k, i))",
+            f"w{e} AS (SELECT k, i, w * (1 - {lr!r}::DOUBLE * {cfg.weight_decay!r}::DOUBLE) - {lr!r}::DOUBLE * (m / {1 - 0.9**e!r}::DOUBLE) / (sqrt(v / {1 - 0.999**e!r}::DOUBLE) + 1e-8) AS w, m, v FROM s{e})",
+            f"y{e} AS (SELECT key, y, arg_max(k, (z, -k)) AS o FROM (SELECT key, y, k, list_dot_product(x, w) AS z FROM u, {lists.format(e)}) GROUP BY key, y)",
+            f"f{e} AS (SELECT avg(2e0 * (SELECT count(*) FROM y{e} WHERE y = l AND o = l) / ((SELECT count(*) FROM y{e} WHERE y = l) + (SELECT count(*) FROM y{e} WHERE o = l))) AS f FROM (SELECT y AS l FROM y{e} UNION SELECT o FROM y{e}))",
+        ]
+        last.append(f"SELECT CAST({e} AS BIGINT) AS epoch, {lr!r}::DOUBLE AS lr, round((SELECT avg(-ln(p)) FROM p{e} WHERE k = y), 6) AS train_loss, round((SELECT avg(CASE WHEN y = o THEN 1e0 ELSE 0e0 END) FROM y{e}), 6) AS val_acc, round((SELECT f FROM f{e}), 6) AS val_f1")
+    return ",\n".join(out) + "\n" + "\nUNION ALL ".join(last)
+
+
+FIT = head.HeadConfig(epochs=3, step=2)
+
+
+@query(_history(FIT))
+def j7_training_history(spark: SparkSession, d: str) -> DataFrame:
+    """A record of each epoch of a short fit: the rate, the loss, and accuracy and macro F1 on the fifth that is kept out."""
+    x = v.table(spark, d, "embeddings").select(F.col("vec_id").alias("key"), F.col("embedding").alias("features"), F.col("label").alias("y_true"))
+    _, history = head.fit_softmax_head(x.where("key % 5 <> 0"), x.where("key % 5 = 0"), 10, FIT)
+    rows = spark.createDataFrame(history, "epoch bigint, lr double, train_loss double, val_acc double, val_f1 double")
+    return rows.select("epoch", "lr", *r6("train_loss", "val_acc", "val_f1"))
+
+
 def fixed_weights() -> np.ndarray:
     """Three classes over 64 features and a constant."""
     k, i = np.mgrid[:3, :65]
