@@ -67,6 +67,18 @@ def _each(df: DataFrame, fn: Callable[..., np.ndarray | None], *args: Column, dr
     return _narrow(df, [F.col("height"), F.col("width"), F.col("data"), *args], run, "height int, width int, data binary", drop)
 
 
+def data_stats(df: DataFrame) -> DataFrame:
+    """df without its data, with px_min, px_max and px_std (population) over all pixels and channels; null for images without data."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(None, None, None) if img is None else (int(img.min()), int(img.max()), float(img.std())) for img in _images(b)]
+            of = lambda i, t: pa.array([x[i] for x in found], t)
+            yield pa.RecordBatch.from_arrays([b.column(0), of(0, pa.int64()), of(1, pa.int64()), of(2, pa.float64())], ["row", "px_min", "px_max", "px_std"])
+
+    return _narrow(df, [F.col("height"), F.col("width"), F.col("data")], run, "px_min bigint, px_max bigint, px_std double", ("data",))
+
+
 def letterbox(df: DataFrame, size: int) -> DataFrame:
     """size x size images on black; unreadable and degenerate rows are left out."""
     return _each(df, lambda img: kernels.letterbox(img, size)).where("data is not null")

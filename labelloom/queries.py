@@ -58,12 +58,27 @@ def a2_filter_ext(spark: SparkSession, d: str) -> DataFrame:
     return tree.filter_ext(v.table(spark, d, "pages"), "html,htm,.PHP", "url").select("page_id", "url")
 
 
+def _image_tree(spark: SparkSession, d: str) -> str:
+    """A folder of images by class; every eleventh is of a class that no vocabulary has."""
+    root, x = scratch_dir(spark), images.from_pixels(v.v_pixels(spark, d), v.PIXEL_SIDE)
+    label = F.when(F.col("key") % 11 == 0, "zz").otherwise(F.col("label").cast("string"))
+    tree.write_images(x.select(label.alias("label"), F.col("key").alias("name"), "height", "width", "data"), root)
+    return root
+
+
+_TREE = "tree AS (SELECT key, px, lab, concat(lab, '/', key, '.png') AS path FROM (SELECT *, CASE WHEN key % 11 = 0 THEN 'zz' ELSE CAST(label AS VARCHAR) END AS lab FROM v_pixels))"
+
+
+@query(f", {_TREE} SELECT lab AS label, concat(key, '.png') AS name, '.png' AS ext FROM tree", "v_pixels")
+def a1_scan_class_tree(spark: SparkSession, d: str) -> DataFrame:
+    return tree.scan_class_tree(spark, _image_tree(spark, d), "PNG").select("label", "name", "ext")
+
+
 @query("""SELECT key, px IS NOT NULL AS readable, CASE WHEN px IS NULL THEN -1 ELSE 8 END AS height, CASE WHEN px IS NULL THEN -1 ELSE 8 END AS width, CASE WHEN px IS NOT NULL THEN 3 ELSE -1 END AS n_channels,
   sha1(unhex(array_to_string(list_transform(px, lambda x: repeat(printf('%02x', x), 3)), ''))) AS digest FROM v_pixels""", "v_pixels")
 def a3_decode_images(spark: SparkSession, d: str) -> DataFrame:
     """Images written as files by class and read back; those without pixels are files that cannot be read."""
-    root = scratch_dir(spark)
-    tree.write_images(images.from_pixels(v.v_pixels(spark, d), v.PIXEL_SIDE).withColumn("name", F.col("key")), root)
+    root = _image_tree(spark, d)
     key = F.regexp_extract("path", r"([0-9]+)\.png$", 1).cast("bigint").alias("key")
     return tree.decode_images(spark, root).select(key, "readable", "height", "width", "n_channels", F.when(F.col("readable"), F.sha1("data")).alias("digest"))
 
@@ -357,6 +372,15 @@ def g2_letterbox(spark: SparkSession, d: str) -> DataFrame:
     return images.letterbox(_images(spark, d), 12).select("key", "height", "width", F.sha1("data").alias("digest"))
 
 
+@query(_resampled(12) + f"SELECT key, 12 AS height, 12 AS width, {DIGEST} FROM x WHERE value IS NOT NULL GROUP BY key", "v_pixels")
+def g2_resize_tree(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of images read, letterboxed, written by class as another folder, and read back; unreadable ones are left out."""
+    source, target = _image_tree(spark, d), scratch_dir(spark)
+    key = lambda c: F.regexp_extract(c, r"([0-9]+)\.png$", 1)
+    tree.write_images(images.letterbox(tree.decode_images(spark, source).select(paths.label_parent("path").alias("label"), key("path").alias("name"), "height", "width", "data"), 12), target)
+    return tree.decode_images(spark, target).select(key("path").cast("bigint").alias("key"), "height", "width", F.sha1("data").alias("digest"))
+
+
 @query("SELECT label, CAST(count(*) AS BIGINT) AS found, CAST(count(px) AS BIGINT) AS resized FROM v_pixels GROUP BY label", "v_pixels")
 def g2_letterbox_tally(spark: SparkSession, d: str) -> DataFrame:
     x = _images(spark, d)
@@ -503,6 +527,21 @@ def h12_is_ok(spark: SparkSession, d: str) -> DataFrame:
     return _audited(spark, d).select("path", "ok")
 
 
+@query(f""", {_TREE}, k AS (SELECT px, min(path) AS first_path FROM tree WHERE px IS NOT NULL GROUP BY px),
+s AS (SELECT tree.*, first_path, sqrt(list_avg(list_transform(tree.px, lambda z: (z - list_avg(tree.px)) * (z - list_avg(tree.px))))) AS dev FROM tree LEFT JOIN k ON tree.px = k.px)
+SELECT path, 'BAD_LABEL' AS code, 'error' AS severity, lab AS detail FROM s WHERE lab = 'zz'
+UNION ALL SELECT path, 'TINY_FILE', 'warning', '8' FROM s WHERE px IS NULL
+UNION ALL SELECT path, 'UNREADABLE', 'error', '' FROM s WHERE px IS NULL
+UNION ALL SELECT path, 'ALL_BLACK', 'error', '' FROM s WHERE list_max(px) = 0
+UNION ALL SELECT path, 'ALL_WHITE', 'error', '' FROM s WHERE list_min(px) = 255
+UNION ALL SELECT path, 'LOW_STD', 'warning', '' FROM s WHERE dev < 3
+UNION ALL SELECT path, 'DUPLICATE', 'warning', first_path FROM s WHERE path <> first_path""", "v_pixels")
+def h11_findings_of_files(spark: SparkSession, d: str) -> DataFrame:
+    """A folder of images as it lies there: scanned, digested, decoded and put to the rules."""
+    names = v.v_pixels(spark, d).select(F.col("label").cast("string").alias("label")).distinct()
+    return audit.findings(audit.audit_tree(spark, _image_tree(spark, d), vocab.build_vocab(names), audit.Config(exts="png", size=v.PIXEL_SIDE, min_file_bytes=16, dup_check=True)))
+
+
 _SUMMARY = """SELECT CAST(count(*) AS BIGINT) AS scanned, CAST(count(*) FILTER (ok) AS BIGINT) AS ok, (SELECT CAST(count(*) AS BIGINT) FROM r WHERE severity = 'error') AS errors, (SELECT CAST(count(*) AS BIGINT) FROM r WHERE severity = 'warning') AS warnings,
   (SELECT concat('{', string_agg(concat('"', label, '":', n), ',' ORDER BY label), '}') FROM (SELECT label, count(*) AS n FROM a WHERE ext_ok AND readable GROUP BY label)) AS per_class FROM a"""
 

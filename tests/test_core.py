@@ -372,3 +372,25 @@ def test_copies_of_a_hot_digest_are_found(spark):
         first.setdefault(g, p)
     got = {r.path: r.first_path for r in audit.first_copies(df).collect()}
     assert got == {p: first[g] if g is not None and first[g] != p else None for p, g in rows}
+
+
+def test_audit_of_a_folder(spark, tmp_path):
+    root = tmp_path / "in"
+    for label in ("a", "a/deep", "zz"):
+        (root / label).mkdir(parents=True, exist_ok=True)
+    rng = np.random.default_rng(3)
+    noise = lambda h, w: rng.integers(0, 256, (h, w, 3), dtype=np.uint8)
+    good, flat = noise(8, 8), np.full((8, 8, 3), 180, np.uint8)
+    save = lambda at, img: (root / at).write_bytes(tree.png(*img.shape[:2], img.tobytes()))
+    for at, img in (("a/1.png", good), ("a/2.png", good), ("a/3.PNG", noise(8, 9)), ("a/deep/4.png", noise(8, 8)), ("zz/5.png", flat), ("a/6.png", flat * 0), ("a/7.png", good * 0 + 255)):
+        save(at, img)
+    (root / "a/8.png").write_bytes((root / "a/1.png").read_bytes()[:60])
+    (root / "a/9.txt").write_bytes(b"text")
+    vocab_ = spark.createDataFrame([(0, "a")], "idx int, label string")
+    got = {(r.path, r.code, r.detail) for r in audit.findings(audit.audit_tree(spark, str(root), vocab_, audit.Config(size=8, min_file_bytes=65, dup_check=True))).collect()}
+    assert got == {
+        ("a/2.png", "DUPLICATE", "a/1.png"), ("a/3.PNG", "BAD_SIZE", "9x8"), ("a/deep/4.png", "BAD_LABEL", "deep"), ("zz/5.png", "BAD_LABEL", "zz"), ("zz/5.png", "LOW_STD", ""),
+        ("a/6.png", "ALL_BLACK", ""), ("a/6.png", "LOW_STD", ""), ("a/7.png", "ALL_WHITE", ""), ("a/7.png", "LOW_STD", ""), ("a/8.png", "UNREADABLE", ""), ("a/8.png", "TINY_FILE", "60"), ("a/9.txt", "BAD_EXT", "9.txt"),
+    }
+    (tmp_path / "none").mkdir()
+    assert audit.audit_tree(spark, str(tmp_path / "none"), vocab_, audit.Config()).count() == 0
