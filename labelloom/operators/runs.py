@@ -9,9 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.scan import before, blocked, with_first, with_values
+from ..plans.scan import before, blocked, kept, placed, with_first, with_values
 from ..plans.scratch import saved, small
-from ..plans.select import numbered
 
 
 def best_epoch(epochs: DataFrame) -> DataFrame:
@@ -21,9 +20,8 @@ def best_epoch(epochs: DataFrame) -> DataFrame:
 
 
 def _placed(epochs: DataFrame) -> tuple[DataFrame, int]:
-    """epochs with _at, their place by run and epoch, and how many there are."""
-    placed = numbered(epochs, "run_id", "epoch", name="_at")
-    return placed, placed.count()
+    """epochs with _at, their place by run and epoch, and its bound."""
+    return placed(epochs, ["run_id"], "epoch", name="_at")
 
 
 def _chain(values: np.ndarray, delta: float) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +34,7 @@ def _chain(values: np.ndarray, delta: float) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gains(records: DataFrame, delta: float) -> DataFrame:
-    """(_at) of the records (run_id, _at, m, _top) that are gains: above the gain before them by more than delta > 0.
+    """(_g, _at) of the records (run_id, _at, m, _top) that are gains: above the gain before them by more than delta > 0.
 
     What a block does to the best value so far is a step function: it begins a chain at the
     first record above best + delta. As best lies within delta below the highest value before
@@ -71,31 +69,32 @@ def _gains(records: DataFrame, delta: float) -> DataFrame:
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for at, m, best in zip(*[b.column(c).to_pylist() for c in ("at", "m", "best")]):
+            out, of = [], []
+            for i, (at, m, best) in enumerate(zip(*[b.column(c).to_pylist() for c in ("at", "m", "best")])):
                 m = np.array(m)
                 after, _ = _chain(m, delta)
                 j = int(np.searchsorted(m, best + delta, "right"))
                 while j < len(m):
                     out.append(at[j])
+                    of.append(i)
                     j = int(after[j])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["_at"])
+            yield pa.RecordBatch.from_arrays([b.column("_g").take(pa.array(of, pa.int64())), pa.array(out, pa.int64())], ["_g", "_at"])
 
     summaries = blocks.select("_g", "_block", "m", "top").mapInArrow(steps, f"_g {group}, _block bigint, begins array<double>, ends array<double>")
     bests = summaries.groupBy("_g").applyInArrow(entered, f"_g {group}, _block bigint, best double")
-    return blocks.join(bests, ["_g", "_block"]).select("at", "m", "best").mapInArrow(marked, "_at bigint")
+    return blocks.join(bests, ["_g", "_block"]).select("_g", "at", "m", "best").mapInArrow(marked, f"_g {group}, _at bigint")
 
 
-def _stops(placed: DataFrame, span: int, patience: int, min_delta: float, monitor: str) -> DataFrame:
-    """(run_id, stop_epoch, _stop_at) of each run of placed epochs."""
+def _stops(epochs: DataFrame, span: int, patience: int, min_delta: float, monitor: str) -> DataFrame:
+    """(run_id, stop_epoch, _stop_at) of each run of _placed() epochs."""
     low, m = F.lit(float("-inf")), F.col(monitor).cast("double")
-    x = placed.select("run_id", "epoch", "_at", F.when(F.isnan(m), low).otherwise(F.coalesce(m, low)).alias("m"))
+    x = epochs.select("run_id", "epoch", "_at", F.when(F.isnan(m), low).otherwise(F.coalesce(m, low)).alias("m"))
     x = before(x, ["run_id"], "_at", "m", "max", "_top", span).withColumn("gain", F.col("m") > F.coalesce("_top", low))
-    x = saved(x)
+    x = kept(x, span)
     if min_delta > 0:
         chosen = _gains(x.where("gain").select("run_id", "_at", "m", "_top"), float(min_delta)).withColumn("_chosen", F.lit(True))
-        x = x.join(chosen, "_at", "left").withColumn("gain", F.col("_chosen").isNotNull()).drop("_chosen")
-    x = saved(with_first(x.drop("_top").withColumn("_won", F.when(F.col("gain"), F.col("_at"))), ["run_id"], "_at", "_first"))
+        x = x.withColumn("_g", F.struct("run_id")).join(chosen, ["_g", "_at"], "left").withColumn("gain", F.col("_chosen").isNotNull()).drop("_chosen", "_g")
+    x = kept(with_first(x.drop("_top").withColumn("_won", F.when(F.col("gain"), F.col("_at"))), ["run_id"], "_at", "_first", span), span)
     x = before(x, ["run_id"], "_at", "_won", "max", "_last", span)
     bad = F.col("_at") - F.coalesce("_last", F.col("_first") - 1)
     over = F.when(~F.col("gain") & (bad >= patience), F.col("_at"))
@@ -106,7 +105,7 @@ def early_stop(epochs: DataFrame, patience: int = 5, min_delta: float = 0.0, mon
     """(run_id, stop_epoch): the first epoch with `patience` epochs without a gain over best + min_delta; null if there is none or stopping is off.
 
     A missing metric counts as the lowest, so does one that is not a number. A run may have any
-    share of all epochs: gains are found from running maxima over blocks of epochs, with
+    share of all epochs: where one is large, gains are found from running maxima over blocks of epochs, with
     min_delta > 0 from chains of records, and the epochs since the last gain from running
     maxima of places. Where min_delta is negative the best value may fall, and a run is folded as a whole.
     """
@@ -136,18 +135,18 @@ def effective_epochs(epochs: DataFrame, patience: int = 5, min_delta: float = 0.
     """The epochs that ran: up to the stop, where there is one."""
     if not enabled:
         return epochs
-    placed, span = _placed(epochs)
+    x, span = _placed(epochs)
     if min_delta < 0:
-        stops = placed.join(small(_folded(placed, patience, min_delta, monitor)), "run_id").where("epoch = stop_epoch").groupBy("run_id").agg(F.min("_at").alias("_stop_at"))
+        stops = x.join(small(_folded(x, patience, min_delta, monitor)), "run_id").where("epoch = stop_epoch").groupBy("run_id").agg(F.min("_at").alias("_stop_at"))
     else:
-        stops = _stops(placed, span, patience, min_delta, monitor).drop("stop_epoch")
-    return with_values(placed, ["run_id"], "_at", stops).where("_stop_at is null or _at <= _stop_at").select(epochs.columns)
+        stops = _stops(x, span, patience, min_delta, monitor).drop("stop_epoch")
+    return with_values(x, ["run_id"], "_at", stops, span).where("_stop_at is null or _at <= _stop_at").select(epochs.columns)
 
 
 def checkpoint_plan(epochs: DataFrame, save_best: bool = True, save_last: bool = True, every_n: int = 0) -> DataFrame:
     """(run_id, epoch, kind, name): best where val_f1 is above all before it, last at each epoch, periodic at each multiple of every_n. Running maxima are taken over blocks of epochs, then over blocks."""
-    placed, span = _placed(epochs.select("run_id", "epoch", "val_f1"))
-    x = before(placed, ["run_id"], "_at", "val_f1", "max", "_top", span)
+    x, span = _placed(epochs.select("run_id", "epoch", "val_f1"))
+    x = before(x, ["run_id"], "_at", "val_f1", "max", "_top", span)
     best = F.coalesce(F.col("val_f1") > F.coalesce("_top", F.lit(float("-inf"))), F.lit(False)) & F.lit(save_best)
     epoch = F.col("epoch").cast("string")
     kinds = [

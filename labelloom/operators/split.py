@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.hashing import key_hash
-from ..plans.scan import before, with_first, with_values
+from ..plans.scan import before, placed, with_first, with_values, written
 from ..plans.select import numbered, within_quota
 
 
@@ -67,8 +67,8 @@ def _free_numbers(df: DataFrame, natural: DataFrame, name: list[str], at: str, k
     folder = ["split", "label"]
     part = lambda i: F.regexp_extract("name", _NUMBERED, i)
     taken = natural.where(F.col("name").rlike(_NUMBERED)).select(*folder, F.concat(part(1), part(3)).alias("name"), part(2).cast("bigint").alias("_b"))
-    taken = numbered(taken, *folder, "name", "_b", name="_p")
-    taken = with_first(taken, name, "_p", "_first")
+    taken, places = placed(taken, name, "_b", name="_p")
+    taken = with_first(taken, name, "_p", "_first", places)
     begins = taken.groupBy(*name, (F.col("_b") - (F.col("_p") - F.col("_first"))).alias(k)).agg(F.count("*").alias("_begin"))
     x = before(df.join(begins, [*name, k], "left"), name, at, "_begin", "sum", "_passed", span)
     return x.withColumn("_free", F.col(k) + F.coalesce("_passed", F.lit(0)) + F.coalesce("_begin", F.lit(0))).drop("_begin", "_passed")
@@ -79,21 +79,20 @@ def assign_unique_names(df: DataFrame, taken: DataFrame | None = None) -> DataFr
 
     By path, the first row of a name keeps it; the others take stem__1.ext, stem__2.ext, ...,
     leaving out numbers whose name is a natural name of the folder or in taken(split, label,
-    name); a name that is itself taken is not kept by anyone. Rows are sorted and written once;
-    what is to be known of a name, which may be any share of a folder's, comes to them by
+    name); a name that is itself taken is not kept by anyone. What is to be known of a name, which may be any share of a folder's, comes to them by
     blocks. Split, label, name and path are not null.
     """
     name = ["split", "label", "name"]
+    # a row's place among its name's: where a name is very frequent, its position in one sorted table, less the first one's
+    df, span = placed(df, name, "path", name="_at")
+    df = written(df, span)
     natural = df.select(*name).distinct()
     if taken is not None:
         natural = natural.unionByName(taken.select(*name)).distinct()
-    # a row's place among its name's: its position in one sorted table, less the first one's
-    df = numbered(df, *name, "path", name="_at")
-    span = df.count()
     first = df.groupBy(*name).agg(F.min("_at").alias("_first")).withColumn("_keeps", F.lit(1))
     if taken is not None:
         first = first.join(taken.select(*name).distinct().withColumn("_taken", F.lit(1)), name, "left").withColumn("_keeps", F.when(F.col("_taken").isNull(), 1).otherwise(0)).drop("_taken")
-    df = with_values(df, name, "_at", first)
+    df = with_values(df, name, "_at", first, span)
     df = df.withColumn("_extra", (F.col("_at") - F.col("_first") + 1 - F.col("_keeps")).cast("bigint"))  # 0: keeps its name
     x = _free_numbers(df, natural, name, "_at", "_extra", span)
     stem, ext = F.regexp_replace("name", r"(?<=.)\.[^.]+$", ""), F.regexp_extract("name", r"^.+?(\.[^.]+)$", 1)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans.scan import with_first
-from .plans.select import numbered
+from .plans.scan import placed, with_first
 
 PIXEL_SIDE = 8
 
@@ -49,8 +48,8 @@ def v_sizes(spark: SparkSession, d: str) -> DataFrame:
 
 def _numbered(spark: SparkSession, d: str, name: str) -> DataFrame:
     """Events with their place, from 1, among those of their user."""
-    placed = numbered(table(spark, d, "events").withColumnRenamed("user_id", "run_id"), "run_id", "ts", "event_id", name="_at")
-    return with_first(placed, ["run_id"], "_at", "_first").withColumn(name, F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
+    x, span = placed(table(spark, d, "events").withColumnRenamed("user_id", "run_id"), ["run_id"], "ts", "event_id", name="_at")
+    return with_first(x, ["run_id"], "_at", "_first", span).withColumn(name, F.col("_at") - F.col("_first") + 1).drop("_at", "_first")
 
 
 def v_epochs(spark: SparkSession, d: str) -> DataFrame:

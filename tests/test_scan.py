@@ -29,6 +29,17 @@ def tiny(monkeypatch):
     monkeypatch.setattr(scan, "BLOCK", 5)
 
 
+def test_places_by_group_and_in_one_table(spark, monkeypatch):
+    rows = [(g, i) for g, n in ((1, 6), (2, 3), (None, 2)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g int, i int").repartition(4)
+    by_group, span = scan.placed(df, ["g"], "i", name="at")
+    assert span == 6 and {(r.g, r.i): r.at for r in by_group.collect()} == {r: r[1] for r in rows}
+    monkeypatch.setattr(scan, "BLOCK", 5)
+    whole, span = scan.placed(df, ["g"], "i", name="at")
+    got = {(r.g, r.i): r.at - r.f for r in scan.with_first(whole, ["g"], "at", "f", span).collect()}
+    assert span == len(rows) and got == {r: r[1] for r in rows}
+
+
 def placed(spark, sizes):
     rng, rows, at = random.Random(1), [], 0
     for g, n in sizes:
@@ -45,7 +56,7 @@ def test_running_aggregates_over_blocks(spark, tiny):
         for g, at, _ in rows:
             ahead = [v for h, b, v in rows if h == g and b < at]
             assert (got[at] or 0) == (total(ahead) if ahead else 0)
-    assert {r.at: r.f for r in scan.with_first(df, ["g"], "at", "f").collect()} == {at: min(b for h, b, _ in rows if h == g) for g, at, _ in rows}
+    assert {r.at: r.f for r in scan.with_first(df, ["g"], "at", "f", len(rows)).collect()} == {at: min(b for h, b, _ in rows if h == g) for g, at, _ in rows}
 
 
 def test_no_task_gets_a_whole_group(spark, tiny):
@@ -53,7 +64,7 @@ def test_no_task_gets_a_whole_group(spark, tiny):
     rows, df = placed(spark, [(1, 100), *[(i, 2) for i in range(2, 102)]])
     keys = scan.blocked(df, ["g"], "at").groupBy("_g", "_block").count()
     assert keys.agg(F.max("count")).first()[0] <= scan.BLOCK and keys.where("_g.g = 1").count() >= 20
-    for x in (scan.before(df, ["g"], "at", "v", "max", "x", len(rows)), scan.with_first(df, ["g"], "at", "f")):
+    for x in (scan.before(df, ["g"], "at", "v", "max", "x", len(rows)), scan.with_first(df, ["g"], "at", "f", len(rows))):
         plan = x._jdf.queryExecution().optimizedPlan().toString()
         windows = [line for line in plan.splitlines() if "Window" in line]
         assert all("_block" in w for w in windows[-1:])
@@ -66,8 +77,9 @@ def test_hot_groups_are_joined_by_broadcast(spark):
     assert sorted(map(str, got.collect())) == sorted(str(spark.createDataFrame([(k, i, n, t)], got.schema).first()) for k, i, n, t in [(1, i, 60, 59) for i in range(60)] + [(2, i, 20, 19) for i in range(20)] + [(3, 0, None, None)] + [(None, i, None, None) for i in range(4)])
 
 
-@pytest.mark.parametrize("patience, delta", [(1, 0.0), (2, 0.0), (2, 0.05), (3, 0.1), (5, 0.3), (2, -0.05), (0, 0.1)])
-def test_early_stop_against_a_fold(spark, tiny, patience, delta):
+@pytest.mark.parametrize("patience, delta, block", [(1, 0.0, 5), (2, 0.0, 1 << 16), (2, 0.05, 5), (3, 0.1, 1 << 16), (5, 0.3, 5), (2, -0.05, 5), (0, 0.1, 5)])
+def test_early_stop_against_a_fold(spark, monkeypatch, patience, delta, block):
+    monkeypatch.setattr(scan, "BLOCK", block)
     rng = random.Random(int(patience * 100 + delta * 1000))
     metrics = {0: [], 1: [0.50, 0.62, 0.64, 0.64, 0.63, 0.62], 2: [None, None, 0.1], 3: [i / 100 for i in range(60)], 4: [0.3, float("nan"), 0.5, LOW]}
     metrics |= {k: [rng.choice([None, rng.random(), rng.random(), k / 40]) for _ in range(rng.randrange(1, 40))] for k in range(5, 20)}
