@@ -7,7 +7,7 @@ hash, built slice by slice, tasks count into dense vectors that it indexes, vect
 summed as a tree, and a second pass aligns the documents again and looks the counts up.
 Every lookup compares the key that is stored at its index.
 
-Texts are encoded once; their ids are kept in a table of two or four bytes an id. Pairs are worked on at most
+Texts are encoded once; their ids are kept in a table, four bytes an id, with where groups end. Pairs are worked on at most
 some PAIRS at a time, so that an index is of a bounded size: the id of the first tokenizer
 says in which block a pair is, and documents pass once for each block.
 """
@@ -15,8 +15,13 @@ says in which block a pair is, and documents pass once for each block.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +37,16 @@ PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Pairs of a block, on average; of a slice of the hash; counts of one row of a vector; rows summed at once.
 PAIRS, SLICE, CHUNK, FAN_IN = 1 << 22, 1 << 16, 1 << 16, 16
 #: Characters that are encoded, and links that are looked at, at once.
-CHARACTERS, LINKS = 1 << 18, 1 << 21
+CHARACTERS, LINKS = 1 << 18, 1 << 19
 #: Bits a key on each level of the hash.
 GAMMA = 2
 
+#: Fixed value: the pattern by which byte-level vocabularies split texts.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters in a row, with or without white space, over which texts are not given to the faster library.
+LONG = 1000
+_RUN = re.compile(rf"\s{{{LONG}}}|\S{{{LONG}}}")
+
 _MADE: dict[int, tuple] = {}
 
 
@@ -61,18 +72,70 @@ def tokenizers(a: bytes, b: bytes) -> tuple:
         for token, i in first.get_vocab().items():
             tokens[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
         pieces = [bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(second.id_to_piece(list(range(second.get_piece_size()))))]
-        _MADE[key] = first, second, tokens, pieces
+        _MADE[key] = FirstEncoder(a, first), second, tokens, pieces
     return _MADE[key]
 
 
+def _twin(a: bytes):
+    """The first vocabulary in a faster library, if it is a byte-level one of the plain kind: split by the usual pattern, nothing normalised, merges in the order of ids; else None."""
+    import tiktoken
+
+    given = json.loads(a)
+    model, vocab = given["model"], given["model"]["vocab"]
+    split = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if given["normalizer"] or {k: v for k, v in (given["pre_tokenizer"] or {}).items() if k in split} != split or model["type"] != "BPE" or any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return None
+    merged = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    of = _of_bytes()
+    if merged != list(range(256, len(vocab))) or not all(c in of for t in vocab for c in t):
+        return None
+    return tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks={bytes(of[c] for c in t): i for t, i in vocab.items()}, special_tokens={})
+
+
+class FirstEncoder:
+    """Ids of texts by the first vocabulary.
+
+    Texts that both libraries split alike go to the faster one: those whose characters have
+    had the same kind since Unicode 3.2, so that tables of any version agree, and that have
+    no run of LONG characters with or without white space, over which one of them
+    fails. The others go to the library that the file is of.
+    """
+
+    def __init__(self, a: bytes, plain):
+        self.plain, self.twin = plain, _twin(a)
+        self.same, self.other = set("\t\n\r"), set()
+
+    def alike(self, text: str) -> bool:
+        """Whether both libraries give text the same ids."""
+        letters = set(text)
+        for c in letters - self.same - self.other:
+            kind = unicodedata.category(c)
+            stable = unicodedata.ucd_3_2_0.category(c) == kind and kind[0] != "C"
+            (self.same if stable else self.other).add(c)
+        if not letters <= self.same:
+            return False
+        words = text.split()
+        spare = len(text) - sum(map(len, words)) - len(words)  # white space beyond one character a word
+        return max(map(len, words), default=0) < LONG and (spare < LONG - 2 or not _RUN.search(text))
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        fast = [self.twin is not None and self.alike(t) for t in texts]
+        slow = iter(self.plain.encode_batch_fast([t for t, f in zip(texts, fast) if not f], add_special_tokens=False))
+        return [self.twin.encode_ordinary(t) if f else next(slow).ids for t, f in zip(texts, fast)]
+
+
+#: The bit of a stored id that says whether its token ends a group.
+CUT = 1 << 31
+
+
 def encoded(docs: DataFrame, vocabularies: tuple[str, str] = (BYTE_VOCABULARY, PIECE_VOCABULARY)) -> DataFrame:
-    """docs(doc_id, text): (rid, doc_id, a, b), the ids of " " + text by both, as little-endian integers of 16 bits, or of 32 where a vocabulary is larger. Texts that are null or empty, or whose tokens do not give the text back, have none."""
+    """docs(doc_id, text): (rid, doc_id, a, b), the ids of " " + text by both, as integers of 32 bits, with CUT where tokens of both end. Texts that are null or empty, or whose tokens do not give the text back, have none."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(open(v, "rb").read() for v in vocabularies))  # two files of some megabytes
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second, tokens, pieces = tokenizers(*shared.value)
-        kind = np.dtype("<u2" if max(len(tokens), len(pieces)) <= 1 << 16 else "<u4")
+        long_a, long_b = (np.array([len(x) for x in v], np.int64) for v in (tokens, pieces))
         for b in batches:
             texts, out_a, out_b = b.column("text").to_pylist(), [], []
             at = 0
@@ -83,35 +146,59 @@ def encoded(docs: DataFrame, vocabularies: tuple[str, str] = (BYTE_VOCABULARY, P
                     end += 1
                 some = [t or "" for t in texts[at:end]]
                 at = end
-                ids = zip(some, first.encode_batch_fast([" " + t for t in some], add_special_tokens=False), second.encode(some, num_threads=1))
-                for t, x, y in ids:
-                    x, data = x.ids, f" {t}".encode()
-                    same = t and b"".join([tokens[i] for i in x]) == data == b"".join([pieces[i] for i in y])
-                    out_a.append(np.array(x if same else [], kind).tobytes())
-                    out_b.append(np.array(y if same else [], kind).tobytes())
+                x, y = first.ids([" " + t for t in some]), second.encode(some, num_threads=1)
+                for i, t in enumerate(some):
+                    data = f" {t}".encode()
+                    if not (t and b"".join([pieces[k] for k in y[i]]) == data and b"".join([tokens[k] for k in x[i]]) == data):
+                        x[i] = y[i] = ()
+                marked = _marked(x, long_a, y, long_b)
+                out_a += marked[0]
+                out_b += marked[1]
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("doc_id"), pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary())], ["rid", "doc_id", "a", "b"])
 
     return rows.mapInArrow(run, f"rid bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}, a binary, b binary")
 
 
+def _marked(a: list, long_a: np.ndarray, b: list, long_b: np.ndarray) -> list[list[bytes]]:
+    """Some texts' ids by both as they are stored: CUT is added where a token of either ends at the same byte."""
+
+    def flat(side: list) -> np.ndarray:
+        ids = array("I")
+        for x in side:
+            ids.extend(x)
+        return np.array(ids, np.uint32)
+
+    x, y = flat(a), flat(b)
+    ends_x, ends_y = np.cumsum(long_a[x]), np.cumsum(long_b[y])
+    out = []
+    for side, ids, cut in ((a, x, _found(ends_x, ends_y)), (b, y, _found(ends_y, ends_x))):
+        ids[cut] |= np.uint32(CUT)
+        data, to = ids.tobytes(), 4 * np.cumsum([len(v) for v in side])
+        out.append([data[i:j] for i, j in zip([0, *to.tolist()], to.tolist())])
+    return out
+
+
 class Sizes:
-    """Byte lengths of both tokenizers' ids, and how an id is stored."""
+    """How many ids both tokenizers have, and how an id is written: of the first one within and at the end of a group, then of the second."""
 
     def __init__(self, vocabularies: tuple[str, str]):
         _, _, tokens, pieces = tokenizers(*[open(v, "rb").read() for v in vocabularies])
-        self.a, self.b = (np.array([len(x) for x in v], np.int64) for v in (tokens, pieces))
-        self.kind = np.dtype("<u2" if max(len(tokens), len(pieces)) <= 1 << 16 else "<u4")
+        self.a, self.b = len(tokens), len(pieces)
+
+    @cached_property
+    def labels(self) -> np.ndarray:
+        marked = ((self.a, (b",", b"|")), (self.b, (b",", b";")))
+        return np.array([b"%d%s" % (i, mark) for n, marks in marked for mark in marks for i in range(n)], object)
 
 
 class Aligned:
     """Some documents' tokens end to end: ids a and b, for each token its group and whether it ends it, and for each group its document and sizes."""
 
-    def __init__(self, a: list[bytes], b: list[bytes], sizes: Sizes):
-        x, y = ([np.frombuffer(t, sizes.kind) for t in side] for side in (a, b))
-        self.docs, self.n_a, self.n_b = len(a), np.array([len(t) for t in x], np.int64), np.array([len(t) for t in y], np.int64)
-        self.a, self.b = (np.concatenate([*side, np.zeros(0, sizes.kind)]).astype(np.int64) for side in (x, y))
-        ends_a, ends_b = np.cumsum(sizes.a[self.a]), np.cumsum(sizes.b[self.b])
-        self.cut_a, self.cut_b = _found(ends_a, ends_b), _found(ends_b, ends_a)
+    def __init__(self, a: list[bytes], b: list[bytes]):
+        x, y = (np.frombuffer(b"".join(side), np.uint32) for side in (a, b))
+        self.docs, self.n_a, self.n_b = len(a), np.array([len(t) for t in a], np.int64) // 4, np.array([len(t) for t in b], np.int64) // 4
+        self.a, self.b = ((ids & np.uint32(CUT - 1)).astype(np.int64) for ids in (x, y))
+        self.cut_a, self.cut_b = x >= CUT, y >= CUT
         self.group_a, self.group_b = np.cumsum(self.cut_a) - self.cut_a, np.cumsum(self.cut_b) - self.cut_b
         self.groups = int(self.cut_a.sum())
         self.p, self.q = np.bincount(self.group_a, minlength=self.groups), np.bincount(self.group_b, minlength=self.groups)
@@ -153,15 +240,15 @@ def _found(x: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[np.minimum(np.searchsorted(among, x), len(among) - 1)] == x
 
 
-def aligned(batches: Iterator[pa.RecordBatch], sizes: Sizes) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
-    """encoded()'s rows, together while they have fewer than LINKS bytes of ids, and aligned."""
+def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Aligned]]:
+    """encoded()'s rows, together while they have fewer than LINKS ids, and aligned."""
     for batch in batches:
         lengths = np.array([len(x) + len(y) for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())])
         at = 0
         while at < batch.num_rows:
-            n = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), LINKS, "right")))
+            n = max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 4 * LINKS, "right")))
             rows = batch.slice(at, n)
-            yield rows, Aligned(rows.column("a").to_pylist(), rows.column("b").to_pylist(), sizes)
+            yield rows, Aligned(rows.column("a").to_pylist(), rows.column("b").to_pylist())
             at += n
 
 
@@ -234,11 +321,11 @@ class PerfectHash:
 
 def _distinct_pairs(tokens: DataFrame, sizes: Sizes) -> DataFrame:
     """(pair), a * |b's vocabulary| + b, of all links: distinct within a part of each task first, then over all."""
-    width = len(sizes.b)
+    width = sizes.b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.zeros(0, np.int64)
-        for _, x in aligned(batches, sizes):
+        for _, x in aligned(batches):
             for _, a, b, _ in x.links():
                 kept = np.union1d(kept, a * width + b)
                 if len(kept) > LINKS:
@@ -266,12 +353,12 @@ def perfect_hash(pairs: DataFrame, count: int) -> PerfectHash:
 
 def _counts(tokens: DataFrame, sizes: Sizes, index, blocks: int, block: int) -> np.ndarray:
     """In how many documents each pair of the index is linked: a dense vector a task, summed FAN_IN at a time."""
-    width = len(sizes.b)
+    width = sizes.b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = index.value
         total = np.zeros(len(h.keys), np.int64)
-        for _, x in aligned(batches, sizes):
+        for _, x in aligned(batches):
             # a document counts once for a pair
             once = [np.unique(doc << 40 | a * width + b) for doc, a, b, _ in x.links(blocks, block)]
             pairs = (once[0] if len(once) == 1 else np.unique(np.concatenate([*once, np.zeros(0, np.int64)]))) & ((1 << 40) - 1)
@@ -299,21 +386,15 @@ def _counts(tokens: DataFrame, sizes: Sizes, index, blocks: int, block: int) ->
     return out
 
 
-def _labels(sizes: Sizes) -> list[bytes]:
-    """How an id is written: of a within and at the end of a group, then of b."""
-    return [b"%d%s" % (i, mark) for n, marks in ((len(sizes.a), (b",", b"|")), (len(sizes.b), (b",", b";"))) for mark in marks for i in range(n)]
-
-
 def written(x: Aligned, sizes: Sizes) -> Iterator[bytes]:
     """Each document's groups as `a1,a2|b1;a3|b2,b3`."""
-    labels, na, nb = _labels(sizes) if not hasattr(sizes, "labels") else sizes.labels, len(sizes.a), len(sizes.b)
-    sizes.labels = labels
+    na, nb = sizes.a, sizes.b
     code = np.empty(len(x.a) + len(x.b), np.int64)
     code[np.arange(len(x.a)) + (np.cumsum(x.q) - x.q)[x.group_a]] = x.a + na * x.cut_a
     code[np.arange(len(x.b)) + np.cumsum(x.p)[x.group_b]] = 2 * na + x.b + nb * x.cut_b
-    at = 0
+    labels, at = sizes.labels[code].tolist(), 0
     for n in (x.n_a + x.n_b).tolist():
-        yield b"".join([labels[c] for c in code[at : at + n].tolist()])[:-1]
+        yield b"".join(labels[at : at + n])[:-1]
         at += n
 
 
@@ -328,7 +409,7 @@ def alignment(docs: DataFrame, vocabularies: tuple[str, str] = (BYTE_VOCABULARY,
     read; an empty table gives an empty table.
     """
     sizes = Sizes(vocabularies)
-    width, sc = len(sizes.b), docs.sparkSession.sparkContext
+    width, sc = sizes.b, docs.sparkSession.sparkContext
     tokens = saved(encoded(docs.select("doc_id", "text"), vocabularies))
     pairs = saved(_distinct_pairs(tokens, sizes))
     count = pairs.count()
@@ -339,7 +420,7 @@ def alignment(docs: DataFrame, vocabularies: tuple[str, str] = (BYTE_VOCABULARY,
         h = perfect_hash(pairs.where(F.expr(f"pair div {width} % {blocks} = {block}")), 2 * count // blocks)
         shared = sc.broadcast(h)  # some PAIRS keys of 8 bytes and as many counts
         counts = _counts(tokens, sizes, shared, blocks, block)
-        best = np.zeros(len(sizes.a), np.int64)
+        best = np.zeros(sizes.a, np.int64)
         np.maximum.at(best, h.keys // width, counts)
         found = sc.broadcast((counts, best))
         part = _looked_up(tokens, sizes, shared, found, blocks, block, key)
@@ -352,14 +433,15 @@ def alignment(docs: DataFrame, vocabularies: tuple[str, str] = (BYTE_VOCABULARY,
 
 def _looked_up(tokens: DataFrame, sizes: Sizes, index, found, blocks: int, block: int, key: str) -> DataFrame:
     """The second pass for one block's pairs: (rid, doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), with numbers of tokens and groups, and the hash, in the first block only."""
-    width = len(sizes.b)
+    width = sizes.b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, (counts, best) = index.value, found.value
-        for rows, x in aligned(batches, sizes):
+        for rows, x in aligned(batches):
             links, n_best, total = (np.zeros(x.docs, np.int64) for _ in range(3))
             for doc, a, b, n in x.links(blocks, block):
-                c = counts[h.index(a * width + b)]
+                pairs, of = np.unique(a * width + b, return_inverse=True)
+                c = counts[h.index(pairs)][of]
                 for out, v in ((links, n), (n_best, n * (c == best[a])), (total, n * c)):
                     np.add.at(out, doc, v)
             own = (x.n_a, x.n_b, np.bincount(x.doc, minlength=x.docs)) if not block else [np.zeros(x.docs, np.int64)] * 3

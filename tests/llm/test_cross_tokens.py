@@ -1,13 +1,15 @@
 """Alignment of two tokenizers against plain Python over all occurrences."""
 
 import hashlib
+import json
+import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
 from labelloom.llm import cross_tokens as C
-from labelloom.llm.token_counts import encoder
 
 SCHEMA = "doc_id bigint, text string"
 BODIES = [
@@ -22,7 +24,7 @@ def plain(rows):
     docs, pairs = [], defaultdict(int)
     for _, text in rows:
         data = f" {text or ''}".encode()
-        a, b = first.encode(f" {text}", add_special_tokens=False).ids if text else [], second.encode(text) if text else []
+        a, b = first.plain.encode(f" {text}", add_special_tokens=False).ids if text else [], second.encode(text) if text else []
         if b"".join(tokens[i] for i in a) != data or b"".join(pieces[i] for i in b) != data:
             docs.append(([], [], []))
             continue
@@ -85,9 +87,23 @@ def test_perfect_hash_is_minimal_and_verified():
     assert (C.PerfectHash([C.built(keys[:0])]).index(keys[:5]) == -1).all() and len(h.words) * 64 < 6 * len(keys)
 
 
-def test_tokens_are_the_texts_bytes():
+def test_both_libraries_give_the_same_ids():
+    """Of texts that are given to the faster library, and of what is kept from it."""
     first, second, tokens, pieces = C.tokenizers(*[open(v, "rb").read() for v in (C.BYTE_VOCABULARY, C.PIECE_VOCABULARY)])
-    enc = encoder(open("/opt/tokenizers/byte_bpe_50k.tiktoken", "rb").read())
-    for t in filter(None, BODIES):
-        ids = first.encode(" " + t, add_special_tokens=False).ids
-        assert b"".join(tokens[i] for i in ids) == (" " + t).encode() and ids == enc.encode_ordinary(" " + t)
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(0x20, 0x600)] + list("\t\n\r\xa0\u3000\u2003\u2028字かな漢ⅷ²½٣१ไ\U0001d7d9\U0001f600") + list("  ''\n\n0123456789.,") * 20
+    words = ["don't", " I'll", "'S", "  ", "\n\n", " 12.5", "naïve", "Straße", " the", "ing", "<|endoftext|>", " \xa0 x", "...", "\t\t", "one", " two", " three ", " a\nb", "\n c", " \nd", "word\u3000", " ", "▁"]
+    made = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 60))) for _ in range(3000)] + ["".join(rng.choice(words) for _ in range(rng.randrange(1, 30))) for _ in range(2000)]
+    for d in ("sf0.001", "sf0.01"):
+        made += [r[0] for r in duckdb.sql(f"select text from '/root/testdata/{d}/documents.parquet' where text is not null").fetchall()]
+    made += [b for b in BODIES if b]
+    fast = sum(map(first.alike, made))
+    assert first.twin is not None and 3000 < fast < len(made)
+    want = [e.ids for e in first.plain.encode_batch([" " + t for t in made], add_special_tokens=False)]
+    assert first.ids([" " + t for t in made]) == want
+    assert all(b"".join(tokens[i] for i in ids) == (" " + t).encode() for t, ids in zip(made, want))
+    assert all(first.alike(t) for t in (" " * 900, "a " * 2000, "x" * 900 + "\n" * 900, "\n" * 900 + "b"))
+    assert not first.alike(" " * 1000) and not first.alike("x" * 5000) and not first.alike("a\x85b") and not first.alike("\u180e")
+    other = json.loads(open(C.BYTE_VOCABULARY, "rb").read())
+    other["pre_tokenizer"]["add_prefix_space"] = True
+    assert C._twin(json.dumps(other).encode()) is None
