@@ -19,6 +19,8 @@ from ..plans.scratch import saved
 #: Fixed value: how a PNG file begins.
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 FILES = "path string, root string, label string, name string, ext string, length bigint, content binary"
+#: How many of the partitions that Spark deals files out in, 32 small ones each, make a task.
+PARTITIONS = 32
 
 
 def _missing(spark: SparkSession, root: str) -> bool:
@@ -26,6 +28,15 @@ def _missing(spark: SparkSession, root: str) -> bool:
     return not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
+def in_fewer_tasks(files: DataFrame) -> DataFrame:
+    """files as they were read, with PARTITIONS of their partitions to a task, but four tasks a core if there are enough.
+
+    Spark counts 4 MB for opening a file, so that no more than 32 of them make a partition; a task for each costs more than small files take to read.
+    """
+    some = files.rdd.getNumPartitions()
+    return files.coalesce(max(1, 4 * files.sparkSession.sparkContext.defaultParallelism, some // PARTITIONS))
+
+
 def class_files(files: DataFrame, root: str) -> DataFrame:
     """files(path, ...): with root, label (first folder below root), name and ext; files that lie in root itself are dropped."""
     base = F.lit(root.rstrip("/"))
@@ -44,7 +55,7 @@ def scan_class_tree(spark: SparkSession, root: str, exts: str | list[str] | None
         reader = reader.option("pathGlobFilter", "*" + letters)
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return class_files(reader.load(root), full).where(has_extension("path", exts)).select("path", "root", "label", "name", "ext", "length", "content")
+    return class_files(in_fewer_tasks(reader.load(root)), full).where(has_extension("path", exts)).select("path", "root", "label", "name", "ext", "length", "content")
 
 
 def filter_ext(df: DataFrame, exts: str | list[str] | None = None, name: str = "name") -> DataFrame:
@@ -54,7 +65,7 @@ def filter_ext(df: DataFrame, exts: str | list[str] | None = None, name: str = "
 def decode_images(spark: SparkSession, root: str) -> DataFrame:
     """path, height, width, n_channels, data (BGR, row-major) and readable; a file that cannot be decoded is kept with readable false."""
     image = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(root)
-    return image.select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("n_channels"), "image.data", (F.col("image.height") > 0).alias("readable"))
+    return in_fewer_tasks(image).select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("n_channels"), "image.data", (F.col("image.height") > 0).alias("readable"))
 
 
 def png(height: int, width: int, data: bytes) -> bytes:

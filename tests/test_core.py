@@ -394,3 +394,17 @@ def test_audit_of_a_folder(spark, tmp_path):
     }
     (tmp_path / "none").mkdir()
     assert audit.audit_tree(spark, str(tmp_path / "none"), vocab_, audit.Config()).count() == 0
+
+
+def test_a_folder_of_many_small_files_is_read_in_few_tasks(spark, tmp_path):
+    root = tmp_path / "in"
+    for label in ("a", "b"):
+        (root / label).mkdir(parents=True)
+    body = tree.png(2, 2, bytes(range(12)))
+    for i in range(1200):
+        (root / "ab"[i % 2] / f"{i}.png").write_bytes(body if i % 10 else body[:20])
+    decoded = tree.decode_images(spark, str(root))
+    assert decoded.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism  # Spark alone makes a task of 32 files
+    assert decoded.where("readable and length(data) = 12").count() == 1080 and decoded.count() == 1200
+    scanned = tree.scan_class_tree(spark, str(root), "png")
+    assert scanned.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism and scanned.where("length(content) = length").count() == 1200
