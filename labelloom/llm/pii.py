@@ -207,38 +207,53 @@ class Tagger:
         return out
 
     def window_scores(self, x: np.ndarray) -> np.ndarray:
-        """scores() of windows (n, width) as (n, TAGS, width), without keeping hidden states. Gates are blocks of rows, so that each is contiguous."""
-        k, n = HIDDEN, len(x)
+        """scores() of windows (n, width) as (TAGS, width, n). Gates are (HIDDEN / 4, n, 4), each contiguous; four floats at a time are moved there from rows of windows, as one complex number."""
+        k, n, four = HIDDEN, len(x), np.complex128
         x = np.ascontiguousarray(x.T, np.intp)
-        out = np.empty((len(x), TAGS, n), np.float32)
-        out[:] = self.p["b"][:, None]
-        given = np.empty((n, 4 * k), np.float32)
-        z, new, tmp = np.empty((4 * k, n), np.float32), np.empty((4 * k, n), np.float32), np.empty((k, n), np.float32)
-        for d, part in (("f", self.p["w"][:k]), ("b", self.p["w"][k:])):
-            g, u, part = self.p["g" + d].copy(), np.array(self.p["u" + d].T), np.array(part.T)
-            # sigmoid(z) is (1 + tanh(z / 2)) / 2, so that one tanh serves all gates
-            g[:, : 3 * k] /= 2
-            u[: 3 * k] /= 2
-            h, c = np.zeros((k, n), np.float32), np.zeros((k, n), np.float32)
-            for t in range(len(x)) if d == "f" else range(len(x) - 1, -1, -1):
-                np.take(g, x[t], axis=0, out=given, mode="clip")
-                z[:] = given.T
-                np.matmul(u, h, out=new)
-                z += new
-                np.tanh(z, out=z)
-                gates = z[: 3 * k]
-                gates += 1
-                gates *= 0.5
-                c *= z[k : 2 * k]
-                np.multiply(z[:k], z[3 * k :], out=tmp)
-                c += tmp
-                np.tanh(c, out=tmp)
-                np.multiply(z[2 * k : 3 * k], tmp, out=h)
-                out[t] += part @ h
-        return np.ascontiguousarray(out.transpose(2, 1, 0))
+        hidden = np.zeros((len(x) + 1, n, k), np.float32)  # by step, after the zeros that it begins with
+        given, more = np.empty((n, 4 * k), np.float32), np.empty((n, 4 * k), np.float32)
+        z, tmp, c = np.empty((k, n, 4), np.float32), np.empty((k // 4, n, 4), np.float32), np.empty((k // 4, n, 4), np.float32)
+        i, f, o, new = np.split(z, 4)
+        rows, gates, ahead, back = given.view(four).T, z.view(four)[:, :, 0], tmp.view(four)[:, :, 0].T, hidden.view(four)
+        out = np.empty((TAGS, len(x), n), np.float32)
+        out[:] = self.p["b"][:, None, None]
+        with np.errstate(over="ignore"):  # exp may be infinite, and its gate then 0
+            for d, w, codes_ in (("f", self.p["w"][:k], x), ("b", self.p["w"][k:], x[::-1])):
+                # sigmoid(z) is 1 / (1 + exp(-z)) and tanh(z) is 2 * sigmoid(2 * z) - 1, so that one exp serves all gates; tables hold -z and -2 * z
+                g, u = -self.p["g" + d], -self.p["u" + d]
+                g[:, 3 * k :] *= 2
+                u[:, 3 * k :] *= 2
+                c[:] = 0
+                for t, row in enumerate(codes_):
+                    np.take(g, row, axis=0, out=given, mode="clip")
+                    np.matmul(hidden[t], u, out=more)
+                    given += more
+                    gates[:] = rows
+                    np.exp(z, out=z)
+                    z += 1
+                    np.divide(1, z, out=z)
+                    c *= f
+                    np.multiply(i, new, out=tmp)
+                    tmp *= 2
+                    tmp -= i
+                    c += tmp
+                    np.multiply(c, -2, out=tmp)
+                    np.exp(tmp, out=tmp)
+                    tmp += 1
+                    np.divide(2, tmp, out=tmp)
+                    tmp -= 1
+                    tmp *= o
+                    back[t + 1] = ahead
+                part = np.matmul(w.T, hidden[1:].reshape(-1, k).T).reshape(out.shape)
+                out += part if d == "f" else part[:, ::-1]
+        return out
 
     def may_hold(self, e: np.ndarray) -> np.ndarray:
-        """For scores e (length, TAGS) of a text: where its best tags may be anything but outside.
+        """led() of the leads of outside in scores e (length, TAGS) of a text."""
+        return self.led(e[:, 0] - e[:, 1:].max(1))
+
+    def led(self, lead: np.ndarray) -> np.ndarray:
+        """For the lead of outside at each place of a text, its score less the best of the other tags: where its best tags may be anything but outside.
 
         A stretch of other tags beats outside only if what its transitions win, entering and
         leaving once and going on at each place but one, is worth what its scores lose. A
@@ -248,7 +263,7 @@ class Tagger:
         a, s = self.p["a"].astype(np.float64), self.p["s"].astype(np.float64)
         on = (a[1:, 1:] - a[0, 0]).max()
         once = max((a[0, 1:] - a[0, 0]).max(), (s[1:] - s[0]).max()) + max((a[1:, 0] - a[0, 0]).max(), 0.0) - on
-        gain = on - (e[:, 0] - e[:, 1:].max(1)).astype(np.float64)
+        gain = on - lead.astype(np.float64)
 
         def up_to(gain: np.ndarray) -> np.ndarray:
             sums = np.cumsum(gain)
@@ -257,30 +272,35 @@ class Tagger:
         return once + up_to(gain) + up_to(gain[::-1])[::-1] - gain >= -1e-6
 
     def tag(self, texts: list[np.ndarray]) -> list[list[tuple[int, np.ndarray]]]:
-        """For texts as codes: (start, tags) of the parts that may hold anything but outside; the best tags of each whole text, with averaged scores of its overlapping windows."""
-        which = [(k, at) for k, c in enumerate(texts) for at in range(0, max(1, len(c) - WINDOW + STRIDE), STRIDE)]
-        begins = np.cumsum([0, *map(len, texts)])
-        sums = np.zeros((TAGS, begins[-1]), np.float32)
-        for low in range(0, len(which), TOGETHER):
-            part = which[low : low + TOGETHER]
-            x = np.full((len(part), WINDOW), PAD, np.int16)
-            for r, (k, at) in enumerate(part):
-                piece = texts[k][at : at + WINDOW]
-                x[r, : len(piece)] = piece
-            e = self.window_scores(x)
-            for r, (k, at) in enumerate(part):
-                n = min(WINDOW, len(texts[k]) - at)
-                sums[:, begins[k] + at : begins[k] + at + n] += e[r, :, :n]
-        open_ = np.zeros(begins[-1] + 1, bool)  # whether a place may hold anything but outside; one more, which ends the last part
-        first = np.zeros(begins[-1] + 1, bool)
-        first[begins] = True
-        for k, text in enumerate(texts):
-            if at := len(text):
-                at, e = np.arange(at), sums[:, begins[k] : begins[k + 1]]
-                # windows that reach over a place: those that begin at or before it and end after it, of the ones there are
-                last = max(0, -(-(len(at) - WINDOW) // STRIDE)) * STRIDE
-                e /= (np.minimum(at, last) // STRIDE - np.maximum(0, (at - WINDOW) // STRIDE + 1) + 1).astype(np.float32)
-                open_[begins[k] : begins[k + 1]] = self.may_hold(e.T)
+        """For texts as codes: (start, tags) of parts, outside of which, and perhaps in which, all is outside; the best tags of each whole text, with averaged scores of its overlapping windows."""
+        size = np.array([len(c) for c in texts], np.int64)
+        windows = np.maximum(0, -(-(size - WINDOW) // STRIDE)) + 1
+        # a text has a row of STRIDE places for each of its windows and one more, for what the last reaches over
+        begins = (np.cumsum(windows + 1) - windows - 1) * STRIDE
+        rows = np.repeat(begins // STRIDE - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
+        laid = np.full((int(windows.sum()) + len(texts) + 1) * STRIDE, PAD, np.int16)
+        for at, c in zip(begins, texts):
+            laid[at : at + len(c)] = c
+        sums = np.zeros((TAGS, len(laid) // STRIDE, STRIDE), np.float32)
+        for part in np.array_split(rows, -(-len(rows) // TOGETHER)) if len(rows) else ():
+            at = part[:, None] * STRIDE + np.arange(WINDOW)
+            e = np.ascontiguousarray(self.window_scores(laid[at]).transpose(0, 2, 1))
+            over = sums[:, part[0], : WINDOW - STRIDE].copy()  # of the window before, if there is one
+            sums[:, part] = e[:, :, :STRIDE]
+            sums[:, part[0], : WINDOW - STRIDE] += over
+            sums[:, part + 1, : WINDOW - STRIDE] += e[:, :, STRIDE:]
+        # two windows reach over the first places of each row but a text's first and the one after its last window, which only its last window reaches
+        twice = np.ones(sums.shape[1], bool)
+        twice[begins // STRIDE] = twice[begins // STRIDE + windows] = False
+        sums[:, twice, : WINDOW - STRIDE] /= 2
+        sums = sums.reshape(TAGS, -1)
+        lead = sums[0] - sums[1:].max(0)
+        open_ = np.zeros(sums.shape[1] + 1, bool)  # whether a place may hold anything but outside; one more, which ends the last part
+        first = np.zeros(sums.shape[1] + 1, bool)
+        first[begins] = first[begins + size] = True
+        for at, n in zip(begins, size):
+            if n:
+                open_[at : at + n] = self.led(lead[at : at + n])
         # a part begins where a text does or after a closed place, and ends likewise
         was = np.concatenate([[False], open_[:-1]])
         starts, ends = np.flatnonzero(open_ & (first | ~was)), np.flatnonzero(was & (first | ~open_))
@@ -288,8 +308,10 @@ class Tagger:
         for low in range(0, len(starts), PARTS):
             ss, ends_ = starts[low : low + PARTS], ends[low : low + PARTS]
             at, end = ss[0], ends_[-1]
-            y = self.best_paths(sums[:, at:end].T, ss - at, ends_ - at, ~first[ss], ~first[ends_])
-            for s, e, k in zip(ss, ends_, np.searchsorted(begins, ss, side="right") - 1):
+            y = self.best_paths(np.ascontiguousarray(sums[:, at:end].T), ss - at, ends_ - at, ~first[ss], ~first[ends_])
+            tagged = np.concatenate([[0], np.cumsum(y != 0)])
+            any_ = tagged[ends_ - at] > tagged[ss - at]
+            for s, e, k in zip(ss[any_], ends_[any_], np.searchsorted(begins, ss[any_], side="right") - 1):
                 out[k].append((int(s - begins[k]), y[s - at : e - at]))
         return out
 

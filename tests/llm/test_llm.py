@@ -722,6 +722,19 @@ def test_every_window_of_a_text_is_read(tagger):
     assert [s for s in tagger.tag([pii.codes(""), c, pii.codes("x")])][0] == []
 
 
+def test_windows_together_score_as_each_alone_and_parts_without_a_tag_are_left_out(tagger):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, pii.PAD + 1, (37, pii.WINDOW)).astype(np.int16)
+    for scale in (1, 40):  # the latter saturates the gates
+        t = pii.Tagger({k: v * np.float32(scale if k[0] == "g" else 1) for k, v in tagger.p.items()})
+        with np.errstate(over="ignore"):
+            want = t.scores(x)
+        with np.errstate(all="raise", under="ignore"):
+            assert np.allclose(t.window_scores(x).transpose(2, 1, 0), want, atol=1e-3)
+    parts = [y for text in texts(13, 40, 60) for _, y in tagger.tag([pii.codes(text + " 12 at 7. Or 1998")])[0]]
+    assert all(y.any() for y in parts)
+
+
 def test_tagger_on_held_out_spans(tagger):
     rng = np.random.default_rng(99)
     x, y = pii.examples(texts(13, 60, 60), 300, rng)  # texts unlike those of the training
