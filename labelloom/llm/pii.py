@@ -36,7 +36,9 @@ CARRIERS, WINDOWS = 200, 1000
 WIDTH, WINDOW, STRIDE = 96, 256, 236
 HIDDEN, EPOCHS, BATCH = 12, 16, 32
 #: Windows that go through the network together, and characters of text that are tagged together.
-TOGETHER, CHARACTERS = 512, 1 << 18
+TOGETHER, CHARACTERS = 1536, 1 << 18
+#: The exp of gates is that of 1 / 2 ** SQUARINGS, squared that often, where it is taken of no more than LARGEST.
+SQUARINGS, LARGEST = 5, 64
 #: Parts that are decoded together, so that what a step holds does not grow with a text.
 PARTS = 1 << 14
 #: Codes: ASCII as it is, any other character, and padding.
@@ -206,47 +208,64 @@ class Tagger:
             out[starts[:m] + t - 1] = y[:m]
         return out
 
+    def gate_tables(self, d: str, squarings: int) -> tuple[np.ndarray, np.ndarray]:
+        """g and u of direction d by gate, (4, codes or HIDDEN, HIDDEN), for window_scores(): they give v = (1 - z / 2 ** squarings) / 2, of 2 * z for the new values, from half of the hidden state."""
+        by = np.array([1, 1, 1, 2], np.float32)[:, None, None] / (2 << squarings)
+        g, u = (self.p[k + d].reshape(-1, 4, HIDDEN).transpose(1, 0, 2) * by for k in "gu")
+        return np.ascontiguousarray(0.5 - g, np.float32), np.ascontiguousarray(-2 * u, np.float32)
+
     def window_scores(self, x: np.ndarray) -> np.ndarray:
-        """scores() of windows (n, width) as (TAGS, width, n). Gates are (HIDDEN / 4, n, 4), each contiguous; four floats at a time are moved there from rows of windows, as one complex number."""
-        k, n, four = HIDDEN, len(x), np.complex128
+        """scores() of windows (n, width) as (TAGS, width, n).
+
+        sigmoid(z) is 1 / (1 + exp(-z)) and tanh(z) is 2 * sigmoid(2 * z) - 1, so all gates take one exp. In NumPy that costs as much as a
+        dozen products, so it comes from exp(y) with y = -z / 2 ** SQUARINGS, squared that often: with v = (1 + y) / 2, 2 / 3 * ((v * v + 3 / 4) ** 2 + v) is
+        1 + y + y ** 2 / 2 + y ** 3 / 6 + y ** 4 / 24. Gates differ by less than 1e-5 from those of exp where z is below LARGEST; weights that allow more go by exp.
+        """
+        k, n, m = HIDDEN, len(x), 1 << SQUARINGS
         x = np.ascontiguousarray(x.T, np.intp)
-        hidden = np.zeros((len(x) + 1, n, k), np.float32)  # by step, after the zeros that it begins with
-        given, more = np.empty((n, 4 * k), np.float32), np.empty((n, 4 * k), np.float32)
-        z, tmp, c = np.empty((k, n, 4), np.float32), np.empty((k // 4, n, 4), np.float32), np.empty((k // 4, n, 4), np.float32)
-        i, f, o, new = np.split(z, 4)
-        rows, gates, ahead, back = given.view(four).T, z.view(four)[:, :, 0], tmp.view(four)[:, :, 0].T, hidden.view(four)
-        out = np.empty((TAGS, len(x), n), np.float32)
-        out[:] = self.p["b"][:, None, None]
-        with np.errstate(over="ignore"):  # exp may be infinite, and its gate then 0
-            for d, w, codes_ in (("f", self.p["w"][:k], x), ("b", self.p["w"][k:], x[::-1])):
-                # sigmoid(z) is 1 / (1 + exp(-z)) and tanh(z) is 2 * sigmoid(2 * z) - 1, so that one exp serves all gates; tables hold -z and -2 * z
-                g, u = -self.p["g" + d], -self.p["u" + d]
-                g[:, 3 * k :] *= 2
-                u[:, 3 * k :] *= 2
-                c[:] = 0
-                for t, row in enumerate(codes_):
-                    np.take(g, row, axis=0, out=given, mode="clip")
-                    np.matmul(hidden[t], u, out=more)
-                    given += more
-                    gates[:] = rows
-                    np.exp(z, out=z)
-                    z += 1
-                    np.divide(1, z, out=z)
+        v, z, h, c, score = (np.empty(s, np.float32) for s in ((4, n, k), (4, n, k), (n, k), (n, k), (TAGS, n)))
+        i, f, o, new = z
+        out = np.empty((len(x), TAGS, n), np.float32)
+        with np.errstate(over="ignore"):  # what stands for exp may be infinite, and its gate then 0
+            for d, w, codes_, to in (("f", self.p["w"][:k], x, out), ("b", self.p["w"][k:], x[::-1], out[::-1])):
+                g, u = self.gate_tables(d, SQUARINGS)
+                exact = m * (2 * np.abs(g - 0.5).max(1) + np.abs(u).sum(1)).max() > LARGEST
+                one = np.float32(1 if exact else 1.5**m)
+                over = np.array([1, 1, 1, -4], np.float32)[:, None, None] * one  # -2 * c is kept in place of c
+                w = np.ascontiguousarray(2 * w.T)
+                c[:] = h[:] = 0  # h is half of the hidden state
+                for row, scores in zip(codes_, to):
+                    np.matmul(h, u, out=v)
+                    np.take(g, row, axis=1, out=z, mode="clip")
+                    v += z
+                    if exact:
+                        np.multiply(v, 2 * m, out=z)
+                        z -= m
+                        np.exp(z, out=z)
+                    else:
+                        np.multiply(v, v, out=z)
+                        z += 0.75
+                        z *= z
+                        z += v
+                        for _ in range(SQUARINGS):
+                            z *= z
+                    z += one
+                    np.divide(over, z, out=z)
+                    new += 2
+                    new *= i
                     c *= f
-                    np.multiply(i, new, out=tmp)
-                    tmp *= 2
-                    tmp -= i
-                    c += tmp
-                    np.multiply(c, -2, out=tmp)
-                    np.exp(tmp, out=tmp)
-                    tmp += 1
-                    np.divide(2, tmp, out=tmp)
-                    tmp -= 1
-                    tmp *= o
-                    back[t + 1] = ahead
-                part = np.matmul(w.T, hidden[1:].reshape(-1, k).T).reshape(out.shape)
-                out += part if d == "f" else part[:, ::-1]
-        return out
+                    c += new
+                    np.exp(c, out=h)
+                    h += 1
+                    np.divide(1, h, out=h)
+                    h -= 0.5
+                    h *= o
+                    if d == "f":
+                        np.matmul(w, h.T, out=scores)
+                        scores += self.p["b"][:, None]
+                    else:
+                        scores += np.matmul(w, h.T, out=score)
+        return out.transpose(1, 0, 2)
 
     def may_hold(self, e: np.ndarray) -> np.ndarray:
         """led() of the leads of outside in scores e (length, TAGS) of a text."""
@@ -275,44 +294,44 @@ class Tagger:
         """For texts as codes: (start, tags) of parts, outside of which, and perhaps in which, all is outside; the best tags of each whole text, with averaged scores of its overlapping windows."""
         size = np.array([len(c) for c in texts], np.int64)
         windows = np.maximum(0, -(-(size - WINDOW) // STRIDE)) + 1
-        # a text has a row of STRIDE places for each of its windows and one more, for what the last reaches over
-        begins = (np.cumsum(windows + 1) - windows - 1) * STRIDE
-        rows = np.repeat(begins // STRIDE - np.cumsum(windows) + windows, windows) + np.arange(windows.sum())
-        laid = np.full((int(windows.sum()) + len(texts) + 1) * STRIDE, PAD, np.int16)
-        for at, c in zip(begins, texts):
-            laid[at : at + len(c)] = c
-        sums = np.zeros((TAGS, len(laid) // STRIDE, STRIDE), np.float32)
-        for part in np.array_split(rows, -(-len(rows) // TOGETHER)) if len(rows) else ():
-            at = part[:, None] * STRIDE + np.arange(WINDOW)
-            e = np.ascontiguousarray(self.window_scores(laid[at]).transpose(0, 2, 1))
-            over = sums[:, part[0], : WINDOW - STRIDE].copy()  # of the window before, if there is one
-            sums[:, part] = e[:, :, :STRIDE]
-            sums[:, part[0], : WINDOW - STRIDE] += over
-            sums[:, part + 1, : WINDOW - STRIDE] += e[:, :, STRIDE:]
-        # two windows reach over the first places of each row but a text's first and the one after its last window, which only its last window reaches
-        twice = np.ones(sums.shape[1], bool)
-        twice[begins // STRIDE] = twice[begins // STRIDE + windows] = False
-        sums[:, twice, : WINDOW - STRIDE] /= 2
-        sums = sums.reshape(TAGS, -1)
-        lead = sums[0] - sums[1:].max(0)
-        open_ = np.zeros(sums.shape[1] + 1, bool)  # whether a place may hold anything but outside; one more, which ends the last part
-        first = np.zeros(sums.shape[1] + 1, bool)
+        of, last = np.repeat(np.arange(len(texts)), windows), np.cumsum(windows) - 1
+        offset = (np.arange(len(of)) - (last - windows + 1)[of]) * STRIDE
+        laid = np.full(int(size.sum()) + WINDOW, PAD, np.int16)
+        if len(texts):
+            laid[: size.sum()] = np.concatenate(texts)
+        begins = np.cumsum(size) - size
+        sums = np.empty((WINDOW, TAGS, len(of)), np.float32).transpose(1, 0, 2)
+        for part in np.array_split(np.arange(len(of)), -(-len(of) // TOGETHER)) if len(of) else ():
+            x = laid[(begins[of] + offset)[part, None] + np.arange(WINDOW)]
+            for w in part[(offset[part] + WINDOW > size[of[part]])] - part[0]:
+                x[w, size[of[part[w]]] - offset[part[w]] :] = PAD
+            sums[:, :, part[0] : part[-1] + 1] = self.window_scores(x)
+        # the first places of a window, but for a text's first one, are read by the window before as well
+        later = np.flatnonzero(offset)
+        sums[:, : WINDOW - STRIDE, later] = (sums[:, STRIDE:, later - 1] + sums[:, : WINDOW - STRIDE, later]) / 2
+        by_window = np.ascontiguousarray((sums[0] - sums[1:].max(0)).T)
+        open_ = np.zeros(len(laid) + 1, bool)  # whether a place may hold anything but outside; one more, which ends the last part
+        first = np.zeros(len(laid) + 1, bool)
         first[begins] = first[begins + size] = True
-        for at, n in zip(begins, size):
+        for at, n, low, high in zip(begins, size, last - windows + 1, last):
             if n:
-                open_[at : at + n] = self.led(lead[at : at + n])
+                lead = np.concatenate([by_window[low:high, :STRIDE].ravel(), by_window[high]])[:n]
+                open_[at : at + n] = self.led(lead)
         # a part begins where a text does or after a closed place, and ends likewise
         was = np.concatenate([[False], open_[:-1]])
         starts, ends = np.flatnonzero(open_ & (first | ~was)), np.flatnonzero(was & (first | ~open_))
+        who = np.searchsorted(begins + size, starts, side="right")
         out = [[] for _ in texts]
         for low in range(0, len(starts), PARTS):
-            ss, ends_ = starts[low : low + PARTS], ends[low : low + PARTS]
-            at, end = ss[0], ends_[-1]
-            y = self.best_paths(np.ascontiguousarray(sums[:, at:end].T), ss - at, ends_ - at, ~first[ss], ~first[ends_])
-            tagged = np.concatenate([[0], np.cumsum(y != 0)])
-            any_ = tagged[ends_ - at] > tagged[ss - at]
-            for s, e, k in zip(ss[any_], ends_[any_], np.searchsorted(begins, ss[any_], side="right") - 1):
-                out[k].append((int(s - begins[k]), y[s - at : e - at]))
+            ss, ends_, k = starts[low : low + PARTS], ends[low : low + PARTS], who[low : low + PARTS]
+            to = np.cumsum(ends_ - ss)
+            at = to - (ends_ - ss)  # where each part's places are in what follows
+            place = np.arange(to[-1]) + np.repeat(ss - begins[k] - at, ends_ - ss)
+            window = np.minimum(place // STRIDE, np.repeat(windows[k], ends_ - ss) - 1)
+            e = sums[:, place - window * STRIDE, window + np.repeat(last[k] - windows[k] + 1, ends_ - ss)]
+            y = self.best_paths(np.ascontiguousarray(e.T), at, to, ~first[ss], ~first[ends_])
+            for i in np.flatnonzero(np.add.reduceat(y != 0, at)):
+                out[k[i]].append((int(ss[i] - begins[k[i]]), y[at[i] : to[i]]))
         return out
 
 

@@ -735,6 +735,33 @@ def test_windows_together_score_as_each_alone_and_parts_without_a_tag_are_left_o
     assert all(y.any() for y in parts)
 
 
+def test_gates_take_no_exp_of_their_own(tagger, monkeypatch):
+    rng, exp, taken = np.random.default_rng(6), np.exp, []
+    monkeypatch.setattr(np, "exp", lambda z, **k: taken.append(z.size) or exp(z, **k))
+    x = rng.integers(0, pii.PAD + 1, (50, pii.WINDOW)).astype(np.int16)
+    got = tagger.window_scores(x)
+    assert sum(taken) <= 2 * x.size * pii.HIDDEN  # that of the cells' tanh; the four gates would take four times as many more
+    assert np.allclose(got.transpose(2, 1, 0), tagger.scores(x), atol=1e-3)
+    # the exp that stands in for the gates', over all that they may be given
+    z = np.linspace(-pii.LARGEST, pii.LARGEST, 100_001)
+    v = ((1 - z / 2**pii.SQUARINGS) / 2).astype(np.float32)
+    with np.errstate(over="ignore"):
+        e = ((v * v + np.float32(0.75)) ** 2 + v) ** 2**pii.SQUARINGS
+        one = np.float32(1.5 ** 2**pii.SQUARINGS)
+        assert np.abs(one / (one + e) - 1 / (1 + exp(-z))).max() < 1e-5
+
+
+def test_texts_together_are_tagged_as_each_alone(tagger, monkeypatch):
+    monkeypatch.setattr(pii, "TOGETHER", 5)
+    monkeypatch.setattr(pii, "PARTS", 3)
+    own = [f"{t[:n]} mail bob at site dot org or 020 7946 0999" for t, n in zip(texts(21, 9, 60), (0, 5, 190, 210, 211, 230, 450, 700, 1500))]
+    own = [pii.codes(t) for t in ("", *own, "", own[0], "")]
+    alone = [tagger.tag([c])[0] for c in own]
+    for got, want in zip(tagger.tag(own), alone):
+        assert [(s, y.tolist()) for s, y in got] == [(s, y.tolist()) for s, y in want]
+    assert sum(map(len, alone)) > 9
+
+
 def test_tagger_on_held_out_spans(tagger):
     rng = np.random.default_rng(99)
     x, y = pii.examples(texts(13, 60, 60), 300, rng)  # texts unlike those of the training
