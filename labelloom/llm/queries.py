@@ -12,7 +12,7 @@ from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .simhash import near_duplicates
-from .suffix_dedup import remove_repeats
+from .suffix_dedup import PASSAGE, remove_repeats
 from .token_counts import token_counts
 from .toxicity import train, with_severity
 
@@ -35,7 +35,7 @@ def op3_chat(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op4_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return remove_repeats(_documents(spark, d).select("doc_id", "text"))
+    return remove_repeats(_documents(spark, d).select("doc_id", "text"), words=PASSAGE)
 
 
 def op5_secrets(spark: SparkSession, d: str) -> DataFrame:

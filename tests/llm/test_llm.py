@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from labelloom.llm import chat, common, decontam, exact_dedup, mixing, pii, secrets_scan, simhash, suffix_dedup, token_counts, toxicity
+from labelloom.llm import chat, common, decontam, exact_dedup, mixing, pii, queries, secrets_scan, simhash, suffix_dedup, token_counts, toxicity
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 WS = r"[\x20\x09-\x0D]"
@@ -545,6 +545,38 @@ def test_longest_previous_factors_are_those_of_the_text():
             assert suffix_dedup.repeated_starts(data, start, length, later).tolist() == want
 
 
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 60, 0])
+def test_suffix_dedup_marks_shared_passages_shorter_than_what_it_removes(spark, slice_bytes):
+    rng = random.Random(11)
+
+    def made(n, letters="ab"):
+        return [rng.choice(letters) + rng.choice(["", "é"]) for _ in range(n)]
+
+    passage = made(9, "xyz")
+    texts = [made(rng.randrange(25)) for _ in range(60)] + [made(5, "klmno") + passage[rng.randrange(3) : 7 + i % 3] + made(5, "klmno") for i in range(25)]
+    texts = [rng.choice(["", " "]) + "".join(w + rng.choice([" ", "\n", "\t \r"]) for w in t) for t in texts]
+    texts += ["q w e r t y u i q w e r t y u i", "copy of six words in full"] + ["copy of five words only"] * 2 + ["whole copy of six words here"] * 2 + [None, "", "  \n ", "\u2003".join("abcdefgh")]
+    rows = [(None if i == 3 else i % 80, t) for i, t in enumerate(texts)]
+    runs = [{tuple(ws[k : k + 6]) for k in range(len(ws) - 5)} for ws in ((t or "").encode().split() for t in texts)]
+    times = Counter(x for r in runs for x in r)
+    want = sorted(((t or ""), any(times[x] > 1 for x in r)) for t, r in zip(texts, runs))
+    assert {x for _, x in want} == {True, False} and ("q w e r t y u i q w e r t y u i", False) in want
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for remove in ("all", "later"):
+        got = suffix_dedup.remove_repeats(df, 400, 64, remove, slice_bytes, with_kept=True, words=6, word_gram=2).collect()
+        assert sorted((bytes(r.kept).decode(), r.shares_passage) for r in got) == want and not any(r.n_removed for r in got)
+
+
+def test_suffix_dedup_query_has_a_verdict_on_passages_of_51_words(spark, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(51))
+    rows = [(1, f"one {passage} more"), (2, f"{passage.replace(' ', chr(10))} other"), (3, passage.rpartition(" ")[0]), (4, f"{passage[3:]} x"), (5, "y " * 120), (6, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.shares_passage, r.n_removed) for r in queries.QUERIES["op4_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (True, 0), 2: (True, 0), 3: (False, 0), 4: (False, 0), 5: (False, 0), 6: (False, 0)}
+    blank = spark.createDataFrame([(1, " \n" * 200), (2, " " * 120)], "doc_id bigint, text string").coalesce(1)
+    assert [r.shares_passage for r in suffix_dedup.remove_repeats(blank, words=51).collect()] == [False] * 2
+
+
 def test_suffix_dedup_handles_clashing_names_and_null_ids(spark):
     rows = [(None, "ab" * 300, "x"), (None, "ab" * 300, "x"), (7, "ab" * 250, "y"), (8, "short", "z"), (None, None, "z"), (9, "é" * 199, "q")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, z string").withColumns({c: F.lit(1) for c in ("bytes", "spans", "n_removed", "ANCHOR", "digest")})
